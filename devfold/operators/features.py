@@ -32,18 +32,15 @@ def widen(counts: DataFrame, key: str, value: str, columns: Mapping[int, str]) -
         .pivot(key, list(columns))
         .agg(F.sum(value))
     )
-    zero = F.lit(0).cast("bigint")
-    return pivoted.select(
-        "device_id",
-        *[F.coalesce(F.col(f"`{k}`"), zero).alias(name) for k, name in columns.items()],
-    )
+    names = list(columns.values())
+    return pivoted.toDF("device_id", *names).fillna(0, names)
 
 
-def long_block(counts: DataFrame, block: str, feature: Column, value: str) -> DataFrame:
+def long_block(counts: DataFrame, block: Column, feature: Column, value: str) -> DataFrame:
     """Counts as ``(device_id, block, feature, value)``; rows without a key are no feature."""
     return counts.select(
         "device_id",
-        F.lit(block).alias("block"),
+        block.alias("block"),
         feature.cast("string").alias("feature"),
         F.col(value).cast("double").alias("value"),
     ).where("feature is not null and value is not null")
@@ -55,18 +52,22 @@ def long_features(
     totals: DataFrame | None = None,
     cluster_counts: DataFrame | None = None,
 ) -> DataFrame:
-    """All given blocks stacked in long form; a zero is simply no row."""
+    """All given blocks stacked in long form; a zero is simply no row.
+
+    Each total is a block of its own: a device may have one and miss the other.
+    """
     parts = []
     if label_counts is not None:
-        parts.append(long_block(label_counts, "labels", F.col("label_id"), "ile"))
+        parts.append(long_block(label_counts, F.lit("labels"), F.col("label_id"), "ile"))
     if slice_counts is not None:
         name = F.concat(F.lit("t"), F.col("slice").cast("string"))
-        parts.append(long_block(slice_counts, "time", name, "c"))
+        parts.append(long_block(slice_counts, F.lit("time"), name, "c"))
     if totals is not None:
-        parts += [long_block(totals, t, F.lit(t), t) for t in TOTALS]
+        tall = totals.unpivot("device_id", TOTALS, "name", "value")
+        parts.append(long_block(tall, F.col("name"), F.col("name"), "value"))
     if cluster_counts is not None:
         name = F.concat(F.lit("c"), F.col("cluster").cast("string"))
-        parts.append(long_block(cluster_counts, "clusters", name, "n"))
+        parts.append(long_block(cluster_counts, F.lit("clusters"), name, "n"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -130,17 +131,18 @@ def drop_constant(long: DataFrame, constants: DataFrame) -> DataFrame:
 # -- scaling -------------------------------------------------------------------
 
 
-def scale_factors(train: DataFrame, test: DataFrame, names: Iterable[str]) -> DataFrame:
-    """Per feature the larger of both maxima, a third of it where that exceeds 3.
+def scale_factors(names: Iterable[str], *sides: DataFrame) -> DataFrame:
+    """Per feature the maximum over all sides, a third of it where that exceeds 3.
 
-    Restricted to the vocabulary, so the result never has more rows than names.
-    Both sides go through one aggregation: the larger of two maxima is the maximum.
+    The larger of the train and test maxima is the maximum over both, so the sides
+    go through one aggregation. Restricted to the vocabulary: the result never has
+    more rows than there are names.
     """
-    values = train.select("feature", "value").unionByName(test.select("feature", "value"))
+    values = reduce(DataFrame.unionByName, [s.select("feature", "value") for s in sides])
     seen = values.groupBy("feature").agg(F.max("value").alias("hi"))
     hi = F.greatest(F.coalesce("hi", F.lit(0.0)), F.lit(0.0))
     return (
-        vocabulary(train.sparkSession, names)
+        vocabulary(values.sparkSession, names)
         .join(seen, "feature", "left")
         .select("feature", F.when(hi > 3, hi / 3).otherwise(hi).alias("factor"))
     )
@@ -158,13 +160,15 @@ def apply_scale(long: DataFrame, factors: DataFrame) -> DataFrame:
 
 
 def scale_wide(df: DataFrame, factors: DataFrame) -> DataFrame:
-    """The same division on wide columns, for export; one factor per vocabulary entry."""
+    """The same division on wide columns, for export.
+
+    The factors are collected: one number per vocabulary entry, as many as there
+    are columns to write.
+    """
     known = {r.feature: r.factor for r in factors.collect()}
-    return df.select(
+    return df.selectExpr(
         *[
-            F.try_divide(F.col(f"`{c}`").cast("double"), F.lit(known[c])).alias(c)
-            if c in known
-            else F.col(f"`{c}`")
+            f"try_divide(cast(`{c}` as double), {known[c]!r}D) as `{c}`" if c in known else f"`{c}`"
             for c in df.columns
         ]
     )

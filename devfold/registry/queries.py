@@ -58,7 +58,9 @@ def profiles(r: Roles) -> Profiles:
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = DIGITS) -> DataFrame:
-    return df.withColumns({c: F.round(F.col(f"`{c}`"), digits) for c in columns})
+    return df.selectExpr(
+        *[f"round(`{c}`, {digits}) as `{c}`" if c in columns else f"`{c}`" for c in df.columns]
+    )
 
 
 # -- scalars and filters -------------------------------------------------------
@@ -323,9 +325,9 @@ def drop_constant(r: Roles) -> DataFrame:
 
 
 def _factors(r: Roles, long: DataFrame) -> DataFrame:
-    train = long.join(r.train().select("device_id"), "device_id", "left_semi")
-    test = long.join(r.test(), "device_id", "left_semi")
-    return features.scale_factors(train, test, SPACE.names)
+    """Factors over train and test devices together."""
+    known = attributes.all_devices(r.train(), r.test()).select("device_id")
+    return features.scale_factors(SPACE.names, long.join(known, "device_id", "left_semi"))
 
 
 @query("scale_factors")
