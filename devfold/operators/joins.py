@@ -21,18 +21,23 @@ def fits_broadcast(df: DataFrame) -> bool:
 def hot_keys(df: DataFrame, key: str) -> Column:
     """The most frequent keys as an array of at most ``HOT_KEYS`` entries.
 
-    One pass over a single column builds a fixed-size sketch per task; sketches are
-    merged in ``SKETCH_GROUPS`` groups and then once more. A key it names without
-    need is harmless to salt. A key with a share above about 1 in ``TRACKED_KEYS``
-    is not missed unless ``HOT_KEYS`` others are hotter; what lies below that is
-    left to the runtime splitting of skewed join partitions.
+    One pass over a single column builds fixed-size sketches, merged in
+    ``SKETCH_GROUPS`` groups; the best of each group are then added up. A key named
+    without need is harmless to salt. A key with a share above about 1 in
+    ``TRACKED_KEYS`` is not missed unless ``HOT_KEYS`` others are hotter; what lies
+    below that is left to the runtime splitting of skewed join partitions.
     """
     slot = (F.spark_partition_id() % SKETCH_GROUPS).alias("slot")
-    build = f"approx_top_k_accumulate(`{key}`, {TRACKED_KEYS})"
-    merge = f"approx_top_k_combine(sketch, {TRACKED_KEYS})"
-    sketches = df.select(key, slot).groupBy("slot").agg(F.expr(build).alias("sketch"))
-    best = f"approx_top_k_estimate({merge}, {HOT_KEYS})"
-    return sketches.agg(F.expr(f"transform({best}, e -> e.item)")).scalar()
+    top = F.expr(f"approx_top_k(`{key}`, {HOT_KEYS}, {TRACKED_KEYS})")
+    per_slot = df.select(key, slot).groupBy("slot").agg(top.alias("top"))
+    best = (
+        per_slot.select(F.inline("top"))
+        .groupBy("item")
+        .agg(F.sum("count").alias("total"))
+        .orderBy(F.desc("total"))
+        .limit(HOT_KEYS)
+    )
+    return best.agg(F.collect_list("item")).scalar()
 
 
 def spread_join(

@@ -101,6 +101,9 @@ PARTS = {
               LEFT JOIN (SELECT * FROM long WHERE device_id IN (SELECT device_id FROM devices))
               USING (feature)
               GROUP BY feature)""",
+    "factor_row": "SELECT "
+    + ", ".join(f"max(factor) FILTER (WHERE feature = '{c}') AS \"f_{c}\"" for c in SPACE.names)
+    + " FROM factors",
     "label_stats": """
         SELECT feature, CASE WHEN count(*) < n THEN CAST(0 AS DOUBLE) ELSE min(value) END AS min,
                max(value) AS max, sum(value) / n AS mean
@@ -175,11 +178,8 @@ def _sql(body: str) -> str:
     return f"WITH {parts}\n{body}" if parts else body
 
 
-def _scaled(column: str, factors: str = "factors") -> str:
-    return (
-        f"round(CAST(\"{column}\" AS DOUBLE) / nullif((SELECT factor FROM {factors} "
-        f"WHERE feature = '{column}'), 0), {DIGITS}) AS \"{column}\""
-    )
+def _scaled(column: str) -> str:
+    return f'round(CAST("{column}" AS DOUBLE) / nullif("f_{column}", 0), {DIGITS}) AS "{column}"'
 
 
 def oracles() -> dict[str, str]:
@@ -297,7 +297,8 @@ def oracles() -> dict[str, str]:
                    {", ".join(_scaled(c) for c in SPACE.names)}
             FROM base LEFT JOIN label_wide USING (device_id)
             LEFT JOIN time_wide USING (device_id) LEFT JOIN allev USING (device_id)
-            LEFT JOIN nolat USING (device_id) LEFT JOIN cluster_wide USING (device_id)""",
+            LEFT JOIN nolat USING (device_id) LEFT JOIN cluster_wide USING (device_id),
+            factor_row""",
         "impute_mean": f"""
             SELECT device_id,
                    round(coalesce(CAST(allev AS DOUBLE), avg(allev) OVER ()), {DIGITS}) AS allev,
