@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml.feature import Imputer, StandardScaler, StringIndexer, VectorAssembler
@@ -36,6 +37,68 @@ def widen(counts: DataFrame, key: str, value: str, columns: Mapping[int, str]) -
     return pivoted.toDF("device_id", *names).fillna(0, names)
 
 
+@dataclass(frozen=True)
+class Block:
+    """Per-device counts that fill a run of columns: key ``first`` fills the first name.
+
+    Without a key there is one column, filled by the value itself.
+    """
+
+    counts: DataFrame
+    value: str
+    names: list[str]
+    key: str | None = None
+    first: int = 0
+
+    def placed(self, offset: int, flag: int) -> DataFrame:
+        """``(device_id, at, value, flag)``; a key outside the names has a null place."""
+        at = F.lit(0) if self.key is None else F.col(self.key) - self.first
+        inside = F.when(at.between(0, len(self.names) - 1), at + offset)
+        return self.counts.where(F.col(self.value).isNotNull()).select(
+            "device_id",
+            inside.cast("int").alias("at"),
+            F.col(self.value).cast("bigint").alias("value"),
+            F.lit(flag).alias("flag"),
+        )
+
+
+def attach_blocks(attributes: DataFrame, *blocks: Block) -> DataFrame:
+    """Attributes (one row per device) with the columns of all blocks.
+
+    A column is 0 where the device has the block but not the key, and null
+    throughout a block the device lacks: each block adds one more position that
+    marks its presence. Attributes meet the counts while those are still long, and
+    one pivot widens everything, so rows of a thousand columns are neither
+    shuffled, sorted nor joined. The partition count is the session's own, not
+    derived from the small input, because the output is far larger.
+    """
+    n = int(attributes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    offsets = [sum(len(b.names) for b in blocks[:i]) for i in range(len(blocks))]
+    flags = [-1 - i for i in range(len(blocks))]
+    tall = reduce(
+        DataFrame.unionByName, [b.placed(o, f) for b, o, f in zip(blocks, offsets, flags)]
+    )
+    present = F.struct(F.col("flag").alias("at"), F.lit(1).cast("bigint").alias("value"))
+    cells = tall.repartition(n, "device_id").select(
+        "device_id", F.inline(F.array(F.struct("at", "value"), present))
+    )
+    positions = flags + list(range(sum(len(b.names) for b in blocks)))
+    wide = (
+        attributes.join(cells.hint("merge"), "device_id", "left")
+        .groupBy(*attributes.columns)
+        .pivot("at", positions)
+        .agg(F.sum("value"))
+    )
+    return wide.selectExpr(
+        *[f"`{c}`" for c in attributes.columns],
+        *[
+            f"if(`{flag}` is null, null, coalesce(`{offset + i}`, 0L)) as `{name}`"
+            for b, offset, flag in zip(blocks, offsets, flags)
+            for i, name in enumerate(b.names)
+        ],
+    )
+
+
 def long_block(counts: DataFrame, block: Column, feature: Column, value: str) -> DataFrame:
     """Counts as ``(device_id, block, feature, value)``; rows without a key are no feature."""
     return counts.select(

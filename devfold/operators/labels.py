@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from devfold.functions import group_concat, label_map
-from devfold.operators.features import widen
+from devfold.operators.features import Block, attach_blocks
 from devfold.operators.joins import spread_join
-from devfold.schemas import LABELS
+from devfold.schemas import LABELS, FeatureSpace
 
 
 def device_apps(app_events: DataFrame, events: DataFrame) -> DataFrame:
@@ -71,6 +71,11 @@ def parse_label_list(strings: DataFrame) -> DataFrame:
     )
 
 
+def label_block(label_counts: DataFrame, labels: int = LABELS) -> Block:
+    names = FeatureSpace(labels=labels).label_names
+    return Block(label_counts, "ile", names, key="label_id", first=1)
+
+
 def label_matrix(
     attributes: DataFrame, label_counts: DataFrame, labels: int = LABELS
 ) -> DataFrame:
@@ -78,8 +83,7 @@ def label_matrix(
 
     Absent labels are 0; the whole block is null for a device without label rows.
     """
-    columns = {i: str(i) for i in range(1, labels + 1)}
-    return attributes.join(widen(label_counts, "label_id", "ile", columns), "device_id", "left")
+    return attach_blocks(attributes, label_block(label_counts, labels))
 
 
 def label_categories(categories: DataFrame) -> DataFrame:

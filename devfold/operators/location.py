@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from devfold.functions import time_slice
-from devfold.operators.features import widen
-from devfold.schemas import CLUSTERS
+from devfold.operators.features import Block, widen
+from devfold.schemas import CLUSTERS, TOTALS, FeatureSpace
 
 AXES = ["longitude", "latitude"]
 
@@ -132,6 +132,15 @@ def cluster_histogram(cluster_counts: DataFrame, k: int = CLUSTERS) -> DataFrame
     return widen(cluster_counts, "cluster", "n", {i: f"c{i}" for i in range(k)})
 
 
+def cluster_block(cluster_counts: DataFrame, k: int = CLUSTERS) -> Block:
+    return Block(cluster_counts, "n", FeatureSpace(clusters=k).cluster_names, key="cluster")
+
+
+def total_blocks(totals: DataFrame) -> list[Block]:
+    """One block per total, since a device may have events and yet no ``nolat``."""
+    return [Block(totals, name, [name]) for name in TOTALS]
+
+
 # -- one pass for everything ---------------------------------------------------
 
 

@@ -12,6 +12,11 @@ def distinct_devices(df: DataFrame) -> DataFrame:
     return df.select("device_id").distinct()
 
 
+def active_devices(base: DataFrame, active: DataFrame) -> DataFrame:
+    """Base rows of devices that occur in ``active``."""
+    return base.join(distinct_devices(active), "device_id", "left_semi")
+
+
 def full_profile(base: DataFrame, histogram: DataFrame) -> DataFrame:
     """Devices with activity: base profile and time histogram."""
     return base.join(histogram, "device_id")
@@ -43,8 +48,9 @@ def all_profile(
 ) -> DataFrame:
     """Every base device with all blocks; a block the device lacks is null.
 
-    All five frames have one row per device and are hashed by it already, so the
-    chain of joins adds no shuffle.
+    For frames that are wide already. All have one row per device and are hashed by
+    it, so the chain of joins adds no shuffle; from counts, ``attach_blocks`` gets
+    there without joining wide rows.
     """
     return (
         base.join(histogram, "device_id", "left")

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from devfold.functions import time_slice
-from devfold.operators.features import widen
-from devfold.schemas import SLICES
+from devfold.operators.features import Block, widen
+from devfold.schemas import SLICES, FeatureSpace
 
 
 def drop_empty_rows(df: DataFrame) -> DataFrame:
@@ -38,3 +38,8 @@ def device_slice_counts(events: DataFrame, minutes: int = 10) -> DataFrame:
 def time_histogram(slice_counts: DataFrame, slices: int = SLICES) -> DataFrame:
     """One row per device with ``t1..t{slices}``, 0 where the device has no event."""
     return widen(slice_counts, "slice", "c", {i: f"t{i}" for i in range(1, slices + 1)})
+
+
+def time_block(slice_counts: DataFrame, slices: int = SLICES) -> Block:
+    names = FeatureSpace(slices=slices).slice_names
+    return Block(slice_counts, "c", names, key="slice", first=1)

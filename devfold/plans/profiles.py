@@ -79,21 +79,23 @@ class Profiles:
         return labels.label_matrix(attrs, self.label_counts, self.space.labels)
 
     def full(self, attrs: DataFrame) -> DataFrame:
-        hist = timeofday.time_histogram(
-            timeofday.device_slice_counts(self.sources.events), self.space.slices
+        counts = timeofday.device_slice_counts(self.sources.events)
+        return features.attach_blocks(
+            population.active_devices(attrs, counts),
+            labels.label_block(self.label_counts, self.space.labels),
+            timeofday.time_block(counts, self.space.slices),
         )
-        return population.full_profile(self.base(attrs), hist)
 
     def empty(self, attrs: DataFrame) -> DataFrame:
         return population.empty_profile(attrs, self.sources.events)
 
     def all(self, attrs: DataFrame) -> DataFrame:
-        return population.all_profile(
-            self.base(attrs),
-            timeofday.time_histogram(self.slice_counts, self.space.slices),
-            self.totals,
-            self.totals,
-            location.cluster_histogram(self.cluster_counts, self.space.clusters),
+        return features.attach_blocks(
+            attrs,
+            labels.label_block(self.label_counts, self.space.labels),
+            timeofday.time_block(self.slice_counts, self.space.slices),
+            *location.total_blocks(self.totals),
+            location.cluster_block(self.cluster_counts, self.space.clusters),
         )
 
     def long(self) -> DataFrame:

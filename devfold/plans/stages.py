@@ -89,19 +89,18 @@ class Run:
             wide = labels.label_matrix(base, counts, self.space.labels)
             self.export(wide, f"dev_app_{part}")
 
-    def _base(self, part: str) -> DataFrame:
-        return labels.label_matrix(
-            self.load(f"attributes_{part}"), self.load("label_counts"), self.space.labels
-        )
-
     def merge(self) -> None:
         """Devices with activity (full) and without (empty)."""
         counts = self.load("slice_counts")
-        hist = timeofday.time_histogram(counts, self.space.slices)
+        blocks = [
+            labels.label_block(self.load("label_counts"), self.space.labels),
+            timeofday.time_block(counts, self.space.slices),
+        ]
         for part in PARTS:
-            self.export(population.full_profile(self._base(part), hist), f"full_{part}")
-            empty = population.empty_profile(self.load(f"attributes_{part}"), counts)
-            self.export(empty, f"empty_{part}")
+            known = self.load(f"attributes_{part}")
+            active = population.active_devices(known, counts)
+            self.export(features.attach_blocks(active, *blocks), f"full_{part}")
+            self.export(population.empty_profile(known, counts), f"empty_{part}")
 
     def _long(self) -> DataFrame:
         return features.long_features(
@@ -116,11 +115,14 @@ class Run:
         """All devices with all blocks, scaled by factors over train and test."""
         known = self._long().join(self._devices(), "device_id", "left_semi")
         factors = self.keep(features.scale_factors(self.space.names, known), "scale_factors")
-        hist = timeofday.time_histogram(self.load("slice_counts"), self.space.slices)
-        clusters = location.cluster_histogram(self.load("cluster_counts"), self.space.clusters)
-        totals = self.load("totals")
+        blocks = [
+            labels.label_block(self.load("label_counts"), self.space.labels),
+            timeofday.time_block(self.load("slice_counts"), self.space.slices),
+            *location.total_blocks(self.load("totals")),
+            location.cluster_block(self.load("cluster_counts"), self.space.clusters),
+        ]
         for part in PARTS:
-            wide = population.all_profile(self._base(part), hist, totals, totals, clusters)
+            wide = features.attach_blocks(self.load(f"attributes_{part}"), *blocks)
             self.export(features.scale_wide(wide, factors), f"all_{part}")
 
     def normalization(self) -> None:

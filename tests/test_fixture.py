@@ -160,6 +160,18 @@ def test_all_profile_keeps_every_device(tables, base, slice_counts):
     clusters = location.cluster_histogram(location.rollup_clusters(rollup), 4)
     hist = timeofday.time_histogram(slice_counts)
     found = population.all_profile(base, hist, totals, totals, clusters)
+    attrs = attributes.base_attributes(
+        tables["gender_age_train"], tables["phone_brand_device_model"]
+    )
+    counts = labels.device_label_counts(tables["app_labels"], tables["app_events"], tables["events"])
+    at_once = features.attach_blocks(
+        attrs,
+        labels.label_block(counts),
+        timeofday.time_block(slice_counts),
+        *location.total_blocks(totals),
+        location.cluster_block(location.rollup_clusters(rollup), 4),
+    )
+    assert at_once.columns == found.columns and rows(at_once) == rows(found)
     assert found.columns == table_schema("all_profile", FeatureSpace(clusters=4)).fieldNames()
     by_id = {r.device_id: r.asDict() for r in found.collect()}
     assert set(by_id) == {BIG, 2, 3}
