@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     MultilayerPerceptronClassifier,
@@ -239,8 +240,8 @@ def grid_search(
     return train.sparkSession.createDataFrame(rows, schema).orderBy("logloss", "trees", "depth")
 
 
-def input_names(model: PipelineModel, inputs: Inputs, space: FeatureSpace) -> list[str]:
-    """Names of the entries of ``features`` for a model fitted on category codes."""
+def input_names(inputs: Inputs, space: FeatureSpace) -> list[str]:
+    """Names of the inputs in the order they are assembled."""
     blocks = {"labels": space.label_names, "time": space.slice_names, "clusters": space.cluster_names}
     names = [n for b in inputs.blocks for n in blocks[b]]
     return names + list(inputs.numbers) + list(inputs.categories)
@@ -251,6 +252,36 @@ def importances(
 ) -> DataFrame:
     """Importance per feature of a fitted forest, largest first."""
     scores = model.stages[-1].featureImportances.toArray().tolist()
-    rows = list(zip(input_names(model, inputs, space), scores, strict=True))
+    rows = list(zip(input_names(inputs, space), scores, strict=True))
     frame = df.sparkSession.createDataFrame(rows, "feature string, importance double")
     return frame.orderBy(F.desc("importance"), "feature")
+
+
+def network_importances(
+    model: PipelineModel, inputs: Inputs, space: FeatureSpace, df: DataFrame
+) -> DataFrame:
+    """Importance per feature of a fitted perceptron, scaled to a largest of 1.
+
+    A feature's share of the absolute weights into each unit is passed on through the
+    first two layers; the levels of a category add up to one entry.
+    """
+    net = model.stages[-1]
+    sizes, flat = net.getLayers(), net.weights.toArray()
+    first, second, at = None, None, 0
+    for wide, narrow in zip(sizes, sizes[1:3]):
+        layer = np.abs(flat[at : at + wide * narrow].reshape(wide, narrow))
+        at += wide * narrow + narrow
+        shares = layer / np.maximum(layer.sum(axis=0), 1e-300)
+        first, second = (shares, None) if first is None else (first, shares)
+    scores = (first @ second).sum(axis=1) if second is not None else first.sum(axis=1)
+    levels = {c: len(v) + 1 for s in model.stages if hasattr(s, "labelsArray")
+              for c, v in zip(inputs.categories, s.labelsArray)}
+    names = [n for n in input_names(inputs, space) for _ in range(levels.get(n, 1))]
+    frame = df.sparkSession.createDataFrame(
+        [(n, float(v)) for n, v in zip(names, scores, strict=True)],
+        "feature string, importance double",
+    ).groupBy("feature").agg(F.sum("importance").alias("importance"))
+    largest = frame.agg(F.max("importance")).scalar()
+    return frame.select("feature", F.try_divide("importance", largest).alias("importance")).orderBy(
+        F.desc("importance"), "feature"
+    )

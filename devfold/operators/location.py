@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,8 +15,11 @@ from pyspark.sql import functions as F
 from devfold.functions import time_slice
 from devfold.operators.features import Block, widen
 from devfold.schemas import CLUSTERS, TOTALS, FeatureSpace
+from devfold.session import materialize
 
 AXES = ["longitude", "latitude"]
+DISTANCES_AT_ONCE = 100_000
+MANY_CENTRES = 64
 
 
 def nowhere() -> Column:
@@ -62,14 +65,18 @@ def fit_clusters(
     """K-means over event locations.
 
     Events at one place collapse to a single weighted point first, so a place that
-    holds a large share of the events costs no more than any other. A coordinate
-    that never changes takes no part.
+    holds a large share of the events costs no more than any other. The points are
+    written once, so raw events are scanned once however many rounds follow. A
+    coordinate that never changes takes no part.
     """
-    located = events.select(*AXES).dropna()
-    facts = located.agg(
-        *[f(c).alias(f"{n}_{c}") for c in AXES for n, f in
-          (("lo", F.min), ("hi", F.max), ("mid", F.avg), ("sd", F.stddev_samp))]
-    ).head()
+    located = F.col(AXES[0]).isNotNull() & F.col(AXES[1]).isNotNull()
+    points = materialize(
+        events.groupBy(*AXES)
+        .agg(F.count_if(located).cast("double").alias("weight"))
+        .where("weight > 0")
+    )
+    n = F.sum("weight")
+    facts = points.agg(*[f for c in AXES for f in _weighted(c, n)]).head()
     if facts[f"lo_{AXES[0]}"] is None:
         raise ValueError("no event has a location")
     varying = [c for c in AXES if facts[f"lo_{c}"] < facts[f"hi_{c}"]]
@@ -77,7 +84,6 @@ def fit_clusters(
     scale = {c: facts[f"sd_{c}"] if standardize and c in varying else 1.0 for c in AXES}
     if not varying:
         return Clusters([tuple(fixed[c] for c in AXES)])
-    points = located.groupBy(*AXES).agg(F.count(F.lit(1)).cast("double").alias("weight"))
     shifted = points.select(
         *[((F.col(c) - facts[f"mid_{c}"]) / scale[c]).alias(c) for c in varying], "weight"
     )
@@ -90,28 +96,46 @@ def fit_clusters(
     return Clusters(centres, (float(scale[AXES[0]]), float(scale[AXES[1]])))
 
 
+def _weighted(c: str, n: Column) -> list[Column]:
+    """Range, mean and sample deviation of a coordinate over weighted points."""
+    mid = F.sum(F.col("weight") * F.col(c)) / n
+    square = F.sum(F.col("weight") * F.col(c) * F.col(c)) - n * mid * mid
+    return [
+        F.min(c).alias(f"lo_{c}"),
+        F.max(c).alias(f"hi_{c}"),
+        mid.alias(f"mid_{c}"),
+        F.sqrt(F.greatest(F.try_divide(square, n - 1), F.lit(0.0))).alias(f"sd_{c}"),
+    ]
+
+
 def nearest_cluster(clusters: Clusters | Sequence[tuple[float, float]]) -> Column:
     """Number of the nearest centre, the lower one on a tie, null without a location.
 
-    Centres are a model of k rows, so they travel with the task; each Arrow batch
-    is compared block by block.
+    Centres are a model of k rows, so they travel with the task. Each Arrow batch is
+    compared in pieces that stay in cache; with many centres it is reduced to its
+    distinct places first.
     """
     if not isinstance(clusters, Clusters):
         clusters = Clusters(list(clusters))
     centres = np.asarray(clusters.centres, dtype=float)
     scale = np.asarray(clusters.scale, dtype=float)
-
-    @F.pandas_udf("int")
-    def nearest(longitude: pd.Series, latitude: pd.Series) -> pd.Series:
-        x = longitude.to_numpy(dtype=float, na_value=np.nan)
-        y = latitude.to_numpy(dtype=float, na_value=np.nan)
-        best = np.zeros(len(x), dtype="int32")
-        for at in range(0, len(x), 4096):
-            part = slice(at, at + 4096)
-            dx = (x[part, None] - centres[None, :, 0]) / scale[0]
-            dy = (y[part, None] - centres[None, :, 1]) / scale[1]
-            best[part] = np.argmin(dx * dx + dy * dy, axis=1)
-        return pd.Series(best, dtype="Int32").mask(np.isnan(x) | np.isnan(y))
+    rows = max(1, DISTANCES_AT_ONCE // len(centres))
+
+    @F.arrow_udf("int")
+    def nearest(longitude: pa.Array, latitude: pa.Array) -> pa.Array:
+        x = longitude.to_numpy(zero_copy_only=False).astype(float)
+        y = latitude.to_numpy(zero_copy_only=False).astype(float)
+        missing = np.isnan(x) | np.isnan(y)
+        places, back = np.where(missing, 0, x + 1j * y), slice(None)
+        if len(centres) > MANY_CENTRES:
+            places, back = np.unique(places, return_inverse=True)
+        best = np.empty(len(places), dtype="int32")
+        for at in range(0, len(places), rows):
+            part = places[at : at + rows, None]
+            dx = (part.real - centres[None, :, 0]) / scale[0]
+            dy = (part.imag - centres[None, :, 1]) / scale[1]
+            best[at : at + rows] = np.argmin(dx * dx + dy * dy, axis=1)
+        return pa.array(best[back], mask=missing)
 
     return nearest(*AXES)
 

@@ -218,6 +218,8 @@ def oracles() -> dict[str, str]:
                    CAST(dense_rank() OVER (ORDER BY grp) - 1 AS DOUBLE) AS grp_idx
             FROM attrs""",
         "device_slice_counts": "SELECT device_id, slice, c FROM slice_counts",
+        "ordered_slice_counts": """
+            SELECT device_id, slice, c FROM slice_counts ORDER BY device_id, slice""",
         "time_histogram": "SELECT * FROM time_wide",
         "device_label_apps": "SELECT * FROM label_apps",
         "device_label_counts": "SELECT * FROM label_counts",
@@ -229,6 +231,10 @@ def oracles() -> dict[str, str]:
             FROM label_counts GROUP BY device_id""",
         "parse_label_list": "SELECT * FROM label_counts",
         "label_matrix": "SELECT * FROM base LEFT JOIN label_wide USING (device_id)",
+        "label_categories": """
+            SELECT p_partkey AS app_id, p_size AS label_id, category
+            FROM part LEFT JOIN (SELECT p_size, min(p_type) AS category FROM part GROUP BY p_size)
+            USING (p_size)""",
         "label_category_counts": """
             SELECT category, count(*) AS n_labels, CAST(sum(n) AS BIGINT) AS n_apps
             FROM (SELECT p_size AS label_id, min(p_type) AS category, count(*) AS n

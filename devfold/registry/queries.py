@@ -130,6 +130,11 @@ def device_slice_counts(r: Roles) -> DataFrame:
     return timeofday.device_slice_counts(r.events())
 
 
+@query("ordered_slice_counts")
+def ordered_slice_counts(r: Roles) -> DataFrame:
+    return timeofday.device_slice_counts(r.events()).orderBy("device_id", "slice")
+
+
 @query("time_histogram")
 def time_histogram(r: Roles) -> DataFrame:
     return timeofday.time_histogram(timeofday.device_slice_counts(r.events()))
@@ -180,6 +185,11 @@ def label_matrix(r: Roles) -> DataFrame:
     return p.base(p.train_attributes)
 
 
+@query("label_categories")
+def label_categories(r: Roles) -> DataFrame:
+    return labels.with_category(r.app_labels(), r.label_categories())
+
+
 @query("label_category_counts")
 def label_category_counts(r: Roles) -> DataFrame:
     return labels.label_category_counts(r.app_labels(), r.label_categories())

@@ -71,13 +71,17 @@ class Roles:
         )
 
     def events(self) -> DataFrame:
+        """Located events; ``k`` is its own step, so the JSON text is read once per row."""
         k = F.get_json_object("props", "$.k").try_cast("int")
-        nowhere = k % 5 == 0
+        parsed = self.table("events").select(
+            "event_id", F.col("user_id").alias("device_id"), "ts", "value", k.alias("k")
+        )
+        nowhere = F.col("k") % 5 == 0
         zero = F.lit(0.0)
-        return self.table("events").select(
+        return parsed.select(
             "event_id",
-            F.col("user_id").alias("device_id"),
+            "device_id",
             "ts",
-            F.when(nowhere, zero).otherwise((k - 50).cast("double")).alias("longitude"),
+            F.when(nowhere, zero).otherwise((F.col("k") - 50).cast("double")).alias("longitude"),
             F.when(nowhere, zero).otherwise(F.col("value")).alias("latitude"),
         )

@@ -109,6 +109,10 @@ def test_network_scores_sum_to_one_and_survive_storage(tmp_path, frames):
     assert path != str(tmp_path / "net-")
     assert rows(scoring.submission(load_model(path), filled, CLASSES)) == rows(scored)
     assert _logloss(model, filled).logloss < 0.3
+    ranked = fit.network_importances(model, fit.ALL_INPUTS, SPACE, filled).collect()
+    names = fit.input_names(fit.ALL_INPUTS, SPACE)
+    assert sorted(r.feature for r in ranked) == sorted(names) and ranked[0].importance == 1.0
+    assert {r.feature for r in ranked[:5]} & {"1", "2", "3"}
 
 
 def test_unseen_levels_and_absent_classes_still_score(spark, frames):
@@ -200,6 +204,17 @@ def test_constant_coordinate_takes_no_part(spark):
     assert location.fit_clusters(dot, 5).centres == [(3.0, 1.0)]
 
 
+def test_many_centres_agree_with_brute_force(spark):
+    centres = [(float(x), float(y)) for x in range(12) for y in range(12)]
+    df = spark.range(500).select(
+        F.pmod(F.hash("id"), F.lit(23)).cast("double").alias("longitude"),
+        (F.pmod(F.hash(-F.col("id")), F.lit(240)) / 20).alias("latitude"),
+    )
+    for r in location.assign_clusters(df, centres).collect():
+        far = [(r.longitude - x) ** 2 + (r.latitude - y) ** 2 for x, y in centres]
+        assert r.cluster == far.index(min(far))
+
+
 def test_assignment_ties_and_gaps(spark):
     df = spark.createDataFrame([(1.0, 0.0), (9.0, 0.0), (None, 1.0)], "longitude double, latitude double")
     found = location.assign_clusters(df, [(0.0, 0.0), (2.0, 0.0)]).collect()
