@@ -12,9 +12,15 @@ SALTS = 32
 
 
 def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Catalyst's size estimate for ``df`` is within the broadcast threshold."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    """Whether Catalyst's size estimate for ``df`` is within the broadcast threshold.
+
+    A client without access to the plan (a remote session) counts as not fitting.
+    """
+    try:
+        limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    except AttributeError:
+        return False
     return int(str(size)) <= limit
 
 
