@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from devfold.llm import trie
@@ -233,6 +233,13 @@ def verified(docs: DataFrame, members: DataFrame, width: int, share: int, block_
     return copies.unionByName(links)
 
 
+def near_components(rows: DataFrame, width: int, share: int, block_bytes: int) -> DataFrame:
+    """``(node, component)`` of every document that links with another one."""
+    near = written(coarse(rows, width, share))
+    members = components(near).select(F.col("node").alias("doc_id"), F.col("component").alias("coarse"))
+    return components(verified(rows, written(members), width, share, block_bytes))
+
+
 def jaccard_components(docs: DataFrame, width: int = WIDTH, share: int = SHARE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of every row.
 
@@ -243,7 +250,22 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, share: int = SHARE,
     Shingles are told apart by 64-bit hashes.
     """
     rows = id_and_text(docs)
-    near = written(coarse(rows, width, share))
-    members = components(near).select(F.col("node").alias("doc_id"), F.col("component").alias("coarse"))
-    found = components(verified(rows, written(members), width, share, block_bytes)).select(F.col("node").alias("doc_id"), "component")
+    found = near_components(rows, width, share, block_bytes).select(F.col("node").alias("doc_id"), "component")
     return sized(rows, width).join(found, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, width: int = WIDTH, share: int = SHARE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Documents without those that a smaller id of their component stands for; all columns stay.
+
+    Of rows that repeat an id one stays, that with the smallest text. Rows with a null id stay.
+    """
+    found = near_components(id_and_text(docs), width, share, block_bytes).where("node <> component").select(F.col("node").alias("_gone"))
+    gone = written(found)
+    if gone.count() <= BROADCAST_ROWS:
+        gone = F.broadcast(gone)
+    left = docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    if docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").isEmpty():
+        return left
+    order = Window.partitionBy("doc_id").orderBy("text", F.xxhash64(*docs.columns))
+    first = left.where("doc_id IS NOT NULL").withColumn("_at", F.row_number().over(order)).where("_at = 1").drop("_at")
+    return first.unionByName(left.where("doc_id IS NULL"))
