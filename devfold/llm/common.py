@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from devfold.session import materialize
 
+_LIBC = ctypes.CDLL(None)
 #: Rows and bytes in one Arrow batch. Texts are long, so Spark's default number of rows is too many.
 BATCH_ROWS = 5000
 BATCH_BYTES = 6 << 20
@@ -37,6 +43,14 @@ def running_total(df: DataFrame, key: str, value: str, out: str, block: int = 40
     return summed.join(whole, "_block").withColumn(out, (F.col("_own") + F.col("_earlier")).cast("long")).drop("_block", "_own", "_earlier")
 
 
+def release() -> None:
+    """Give freed memory back to the system, so that idle workers stay small beside the JVM."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(_LIBC, "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def id_and_text(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Only the two columns that the text operators read; other columns stay behind."""
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
@@ -69,18 +83,10 @@ def group_of(cuts: list[int], key: str = "doc_id") -> Column:
     """Index of the group that holds a key, ascending with the key; nulls come first."""
     if not cuts:
         return F.lit(0)
-    bounds = F.array(*[F.lit(c) for c in cuts]) if len(cuts) < 64 else F.from_json(F.lit(str(cuts)), "array<bigint>")
-    # array_position-like lookup on a sorted literal: count of bounds below the key
-    return F.when(F.col(key).isNull(), 0).otherwise(_bisect(bounds, len(cuts), key)).cast("int")
-
-
-def _bisect(bounds: Column, size: int, key: str) -> Column:
-    """Number of bounds smaller than the key, by halving the interval."""
-    low, step = F.lit(0), 1
-    while step * 2 <= size:
-        step *= 2
-    while step:
-        probe = low + F.lit(step)
-        low = F.when((probe <= size) & (F.get(bounds, probe - 1) < F.col(key)), probe).otherwise(low)
-        step //= 2
-    return low
+    bounds = np.array(cuts, np.int64)
+
+    @F.pandas_udf("int")
+    def place(keys: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(bounds, keys.to_numpy()).astype(np.int32))
+
+    return place(F.coalesce(F.col(key), F.lit(-(2**63))))

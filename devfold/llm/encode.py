@@ -19,7 +19,9 @@ import pyarrow as pa
 from devfold.llm import words as W
 
 #: Words kept in one worker's table; beyond that it starts again. Bounds memory only.
-KEPT_WORDS = 3_000_000
+KEPT_WORDS = 2_000_000
+#: Text encoded at once.
+RUN_BYTES = 2 << 20
 _MARKS = np.zeros(256, bool)
 _MARKS[list(b".,;:!?")] = True
 _ALNUM = np.zeros(256, bool)
@@ -46,6 +48,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.model._resize_cache(0)  # words are kept here instead
         self.forget()
         self.marks = {c: np.array(self._ids([chr(c)])[0], np.uint32) for c in np.flatnonzero(_MARKS).tolist()}
 
@@ -85,7 +88,21 @@ class Encoder:
         self.known, self.row = known[order], np.concatenate([self.row, rows])[order]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, and where each text's begin and end. Null counts as empty."""
+        """Ids of all texts in a row, and where each text's begin and end. Null counts as empty.
+
+        Runs of texts of about ``RUN_BYTES`` are encoded together, which bounds the working memory.
+        """
+        _, offsets = W.buffers(texts)
+        cuts = np.unique(np.searchsorted(offsets, np.arange(0, int(offsets[-1]) + RUN_BYTES, RUN_BYTES)))
+        cuts = np.unique(np.clip(np.concatenate([[0], cuts, [len(texts)]]), 0, len(texts)))
+        ids, bounds = [np.zeros(0, np.uint32)], [np.zeros(1, np.int64)]
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            own, ends = self._run(texts.slice(a, b - a))
+            ids.append(own)
+            bounds.append(ends[1:] + bounds[-1][-1])
+        return np.concatenate(ids), np.concatenate(bounds)
+
+    def _run(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         words = W.split(texts)
         if _has_special(words.data):
             return self._whole(texts)

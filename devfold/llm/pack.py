@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from devfold.llm import encode
-from devfold.llm.common import id_and_text, small_batches, written
+from devfold.llm.common import id_and_text, release, small_batches, written
 
 CAPACITY = 4096
 END_ID = 2
@@ -56,6 +56,7 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPAC
                 [batch.column(0).take(pa.array(doc)), *(pa.array(x, pa.int64()) for x in (start, length, crc, size[doc]))],
                 names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"],
             )
+            release()
 
     return id_and_text(docs).mapInArrow(cut, PIECES)
 

@@ -24,17 +24,18 @@ from pyspark.sql import functions as F
 
 from devfold.llm import encode
 from devfold.llm import words as W
-from devfold.llm.common import group_of, id_and_text, ranges_of, running_total
+from devfold.llm.common import group_of, id_and_text, ranges_of, release, running_total, small_batches
 from devfold.session import scratch_path
 
 END_ID = 2
 #: Text of one shard.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 #: New rules a round, rounds at most, and uses under which a pair gets no rule.
 ROUND_RULES, ROUNDS, LEAST_USES = 4096, 8, 6
 #: Rounds end when one shortens the sequence by less than this share.
 LEAST_GAIN = 0.02
-_CELLS = 22
+#: Pairs are counted in hash cells, at most this power of two.
+MOST_CELLS = 22
 
 
 @dataclass
@@ -108,20 +109,21 @@ class Shard:
 def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rules, their expansion lengths and the shortened sequence. Lossless for any input."""
     seq = ids.astype(np.uint32)
+    power = min(MOST_CELLS, max(12, len(seq).bit_length()))
     rules, sizes = [np.zeros((0, 2), np.uint32)], np.zeros(0, np.int64)
     for _ in range(ROUNDS):
         before = len(seq)
         if before < 2:
             break
         left, right = seq[:-1], seq[1:]
-        cell = (left * np.uint32(0x9E3779B1) ^ right * np.uint32(0x85EBCA77)) >> np.uint32(32 - _CELLS)
-        counts = np.bincount(cell, minlength=1 << _CELLS)
-        top = np.argpartition(counts, -ROUND_RULES)[-ROUND_RULES:]
+        cell = (left * np.uint32(0x9E3779B1) ^ right * np.uint32(0x85EBCA77)) >> np.uint32(32 - power)
+        counts = np.bincount(cell, minlength=1 << power)
+        top = np.argpartition(counts, -min(ROUND_RULES, len(counts)))[-ROUND_RULES:]
         top = top[counts[top] >= LEAST_USES]
         if not len(top):
             break
         top = top[np.lexsort((top, -counts[top]))]
-        rank = np.full(1 << _CELLS, len(top), np.uint16)
+        rank = np.full(1 << power, len(top), np.uint16)
         rank[top] = np.arange(len(top))
         order = rank[cell]
         hit = np.flatnonzero(order < len(top))
@@ -133,7 +135,12 @@ def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.nda
         hit = hit[~other]
         padded = np.concatenate([[len(top)], order, [len(top)]]).astype(np.uint16)
         here = padded[hit + 1]
-        chosen = hit[(here < padded[hit]) & (here <= padded[hit + 2])]
+        # a pair goes where it beats its neighbours; in a run of one symbol, every second pair
+        opens = np.ones(len(hit), bool)
+        opens[1:] = (hit[1:] != hit[:-1] + 1) | (here[1:] != here[:-1])
+        start = np.maximum.accumulate(np.where(opens, np.arange(len(hit)), 0))
+        wins = (here < padded[hit])[start] & ((np.arange(len(hit)) - start) % 2 == 0)
+        chosen = hit[wins & (here <= padded[hit + 2])]
         new = np.uint32(base + len(sizes)) + order[chosen].astype(np.uint32)
         kept = np.ones(before, bool)
         kept[chosen + 1] = False
@@ -167,6 +174,7 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str | None = None, end_
         keys = table.column("doc_id").combine_chunks()
         rules, sizes, seq = compress(ids, base)
         shard = Shard(keys.fill_null(0).to_numpy(), keys.is_null().to_numpy(zero_copy_only=False), bounds[1:], base, rules, sizes, seq)
+        release()
         return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "tokens": pa.array([len(ids)], pa.int64()), "payload": pa.array([shard.pack()], pa.binary())})
 
     sharded = rows.withColumn("shard", group_of(cuts)).groupBy("shard")
@@ -207,8 +215,9 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                     ],
                     names=["shard", "doc_id", "_at", "n_tokens", "ids_crc32"],
                 )
+            release()
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")  # payloads are large
+    small_batches(spark)
     found = files.select("shard", "payload").mapInArrow(unfold, "shard int, doc_id long, _at long, n_tokens long, ids_crc32 long")
     bases = running_total(files.select("shard", "tokens"), "shard", "tokens", "_base").select("shard", "_base")
     return found.join(bases, "shard").select("doc_id", (F.col("_base") + F.col("_at")).alias("start"), "n_tokens", "ids_crc32")
