@@ -4,7 +4,8 @@ N-gram counts of the training documents are gathered per batch, summed in hash b
 quantised on a log scale: a count of level ``q`` enters the filter as ``(n-gram, 1) ... (n-gram, q)``.
 Each bucket makes its own slice of the filter, so building is spread and the whole is as
 large as the corpus asks for. A worker reads a level by probing 1, 2, ... until a probe
-fails; the level's mean count then enters a smoothed probability. The filter is broadcast in
+fails; the level's mean count then enters a smoothed probability, in which the weight of a history follows how often its
+like were seen to recur. The filter is broadcast in
 blocks of bounded size; with more than one block the texts are passed over once for each,
 carrying the levels found so far, with the same scores.
 
@@ -25,15 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from devfold.llm import words as W
-from devfold.llm.common import group_of, id_and_text, ranges_of, small_batches, written
+from devfold.llm.common import group_of, id_and_text, ranges_of, release, small_batches, written
 from devfold.llm.jaccard import bucketed
 from devfold.llm.repair import _order
 from devfold.llm.substrings import squeeze, unsqueeze
 
 #: N-gram order, base of the log quantisation, hash functions, bits for each entry.
 ORDER, LOG_BASE, HASHES, ENTRY_BITS = 2, 2.0, 3, 8
-#: Weight of the lower order, in counts.
-PRIOR = 4.0
 #: Bytes of filter that one pass broadcasts.
 BLOCK_BYTES = 128 << 20
 BUCKET_ROWS, RANGE_BYTES = 1_000_000, 4 << 20
@@ -119,25 +118,36 @@ def quantise(counts: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """What scoring needs beside the filter: totals, and the mean count of each order and level."""
+    """What scoring needs beside the filter.
+
+    ``means`` has the mean count of each order and level, ``trust`` the weight of a higher
+    order by the level of its history: the share of training tokens after such histories
+    whose n-gram is no singleton (what Good and Turing expect to be seen again).
+    """
 
     train_tokens: int
     types: int
     means: np.ndarray
-    order: int
-    prior: float
+    trust: np.ndarray
+    start_level: int
 
-    def score(self, levels: np.ndarray, before: np.ndarray, start_count: float) -> np.ndarray:
+    def score(self, levels: np.ndarray, before: np.ndarray) -> np.ndarray:
         """log10 probability of each token from the levels of its n-grams (orders by tokens)."""
-        counts = [self.means[n][levels[n]] for n in range(self.order)]
-        p = (counts[0] + 0.5) / (self.train_tokens + 0.5 * (self.types + 1))
-        for n in range(1, self.order):
-            lower = np.where(before >= 0, counts[n - 1][before], start_count)
-            lower = np.maximum(lower, counts[n])  # a history is at least as frequent as what it starts
-            p = (counts[n] + self.prior * p) / (lower + self.prior)
+        p = (self.means[0][levels[0]] + 0.5) / (self.train_tokens + 0.5 * (self.types + 1))
+        for n in range(1, len(levels)):
+            past = history(levels, before, n, self.start_level)
+            count = self.means[n][levels[n]]
+            seen = np.maximum(self.means[n - 1][past], count)  # a history is at least as frequent as what it starts
+            weight = np.where(past > 0, self.trust[n][past], 0.0)
+            p = weight * count / np.maximum(seen, 1) + (1 - weight) * p
         return np.log10(p)
 
 
+def history(levels: np.ndarray, before: np.ndarray, n: int, start_level: int) -> np.ndarray:
+    """Level of the history of each token's n-gram of order ``n + 1``; a text starts after an end token."""
+    return np.where(before >= 0, levels[n - 1][before], start_level)
+
+
 def gather(train: DataFrame, order: int, size: int) -> tuple[DataFrame, int]:
     """Slices of the filter: one row for each bucket, with level statistics."""
     buckets = max(12, size // 6 * order // BUCKET_ROWS)
@@ -155,6 +165,7 @@ def gather(train: DataFrame, order: int, size: int) -> tuple[DataFrame, int]:
                         column.append(value)
             kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds, strict=True)], names=["bucket", "n", "keys", "counts"])
+            release()
 
     def build(key: tuple, table: pa.Table) -> pa.Table:
         numbers = table.column("n").to_numpy()
@@ -181,6 +192,7 @@ def gather(train: DataFrame, order: int, size: int) -> tuple[DataFrame, int]:
                 for place in positions(inside, q, np.full(len(inside), bits)):
                     plane[place] = True
         packed = np.packbits(plane, bitorder="little").tobytes()
+        release()
         return pa.table({"bucket": pa.array([key[0].as_py()], pa.int32()), "size": pa.array([bits], pa.int64()), "bits": pa.array([packed], pa.binary()), "stats": pa.array([stats.tobytes()], pa.binary())})
 
     cells = train.mapInArrow(count, "bucket int, n int, keys binary, counts binary")
@@ -205,7 +217,7 @@ def blocks(slices: DataFrame, buckets: int, block_bytes: int) -> Iterator[Filter
 
 
 def score_texts(
-    docs: DataFrame, order: int = ORDER, prior: float = PRIOR, block_bytes: int = BLOCK_BYTES, range_bytes: int = RANGE_BYTES
+    docs: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYTES, range_bytes: int = RANGE_BYTES
 ) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row.
 
@@ -224,7 +236,7 @@ def score_texts(
     for row in slices.select("stats").toLocalIterator():
         stats += np.frombuffer(bytes(row["stats"])).reshape(stats.shape)
     means = stats[:, :, 1] / np.maximum(stats[:, :, 0], 1)
-    model = Model(int(stats[0, :, 1].sum()), int(stats[0, :, 0].sum()), means, order, prior)
+    train_tokens, types = int(stats[0, :, 1].sum()), int(stats[0, :, 0].sum())
     whole = slices.agg(F.sum("size")).first()[0] or 0
     single = whole <= 8 * block_bytes
 
@@ -236,11 +248,6 @@ def score_texts(
         levels = np.frombuffer(known, np.uint8)[first] if known else np.zeros(len(distinct), np.uint8)
         return part.value.levels(distinct, levels)[back]
 
-    def totals(keys: np.ndarray, bounds: np.ndarray, levels: np.ndarray) -> np.ndarray:
-        logs = model.score(levels.reshape(order, -1), contexts(keys, bounds), float(means[0][start_level]))
-        sums = np.concatenate([[0.0], np.cumsum(logs)])
-        return sums[bounds[1:]] - sums[bounds[:-1]]
-
     # exact unigram counts travel by range
     ranged = rows.withColumn("range", group_of(cuts))
     word_buckets = max(12, size // 40 // BUCKET_ROWS)
@@ -254,6 +261,7 @@ def score_texts(
         held = np.flatnonzero(np.diff(at))
         cells = [squeeze(distinct[at[b] : at[b + 1]]) for b in held]
         sums = [times[at[b] : at[b + 1]].astype("<u4").tobytes() for b in held]
+        release()
         return pa.table({"range": pa.array(np.full(len(held), key[0].as_py()), pa.int32()), "bucket": pa.array(held, pa.int32()), "keys": pa.array(cells, pa.binary()), "counts": pa.array(sums, pa.binary())})
 
     def add(table: pa.Table) -> pa.Table:
@@ -272,22 +280,20 @@ def score_texts(
         known = np.concatenate([unsqueeze(x) for x in right.column("keys").to_pylist()])
         times = np.concatenate([np.frombuffer(x, "<u8") for x in right.column("counts").to_pylist()])
         count = times[np.searchsorted(known, keys)]
-        logs = np.log10((count + 0.5) / (model.train_tokens + 0.5 * (model.types + 1)))
+        logs = np.log10((count + 0.5) / (train_tokens + 0.5 * (types + 1)))
         n = left.num_rows
+        release()
         base = [math.fsum(logs[a:b].tolist()) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
         seen = np.concatenate([[0], np.cumsum(count > 0)])
-        if single:
-            value = totals(keys, bounds, probed(keys, bounds, None, part))
-        else:
-            raw = b"".join(left.column("levels").to_pylist())  # each text's orders lie together
-            value = totals(keys, bounds, _together(raw, bounds, order))
+        sums = np.concatenate([[0.0], np.cumsum(model.score(levels_of(left, keys, bounds), contexts(keys, bounds)))])
+        value = sums[bounds[1:]] - sums[bounds[:-1]]
         return pa.table(
             {
                 "doc_id": left.column("doc_id"),
                 "held_out": left.column("held_out"),
                 "n_tokens": pa.array(np.diff(bounds), pa.int64()),
                 "n_known": pa.array(seen[bounds[1:]] - seen[bounds[:-1]], pa.int64()),
-                "train_tokens": pa.array(np.full(n, model.train_tokens), pa.int64()),
+                "train_tokens": pa.array(np.full(n, train_tokens), pa.int64()),
                 "base_score": pa.array(base, pa.float64()),
                 "score": pa.array(value, pa.float64()),
             }
@@ -305,6 +311,24 @@ def score_texts(
 
         return look
 
+    def levels_of(table: pa.Table | pa.RecordBatch, keys: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        if single:
+            return probed(keys, bounds, None, part).reshape(order, -1)
+        return _together(b"".join(table.column("levels").to_pylist()), bounds, order).reshape(order, -1)
+
+    def recur(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((2, order, MOST_LEVELS), np.int64)
+        for batch in batches:
+            keys, bounds = tokens(batch.column("text"))
+            levels, before = levels_of(batch, keys, bounds), contexts(keys, bounds)
+            for n in range(1, order):
+                past = history(levels, before, n, start_level)
+                sums[0, n] += np.bincount(past, minlength=MOST_LEVELS)
+                sums[1, n] += np.bincount(past, levels[n] == 1, MOST_LEVELS).astype(np.int64)
+            release()
+        n, level = np.nonzero(sums[0])
+        yield pa.RecordBatch.from_arrays([pa.array(n, pa.int32()), pa.array(level, pa.int32()), pa.array(sums[0][n, level]), pa.array(sums[1][n, level])], names=["n", "level", "tokens", "single"])
+
     sent = ranged.groupBy("range").applyInArrow(send, "range int, bucket int, keys binary, counts binary")
     answers = sent.groupBy("bucket").applyInArrow(add, "range int, bucket int, keys binary, counts binary")
     texts, part, start_level = ranged, None, 0
@@ -317,6 +341,11 @@ def score_texts(
         if not single:  # one block in memory at a time
             texts = written(texts.mapInArrow(step(part), texts.schema))
             part.unpersist()
+    trust = np.zeros((order, MOST_LEVELS))
+    seen = texts.where("NOT held_out").drop("range").mapInArrow(recur, "n int, level int, tokens long, single long")
+    for row in seen.groupBy("n", "level").agg(F.sum("tokens").alias("tokens"), F.sum("single").alias("single")).collect():
+        trust[row["n"], row["level"]] = 1 - row["single"] / row["tokens"]
+    model = Model(train_tokens, types, means, trust, start_level)
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return texts.groupBy("range").cogroup(answers.groupBy("range")).applyInArrow(score, out)
 

@@ -126,7 +126,7 @@ def entropy(ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     keys, counts = np.unique(text << 32 | ids.astype(np.int64), return_counts=True)
     owner = keys >> 32
     share = counts / size[owner]
-    return np.bincount(owner, -share * np.log2(share), len(size))
+    return np.abs(np.bincount(owner, -share * np.log2(share), len(size)))
 
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "chars_per_token", "fallback_share", "token_entropy", "n_ids")
