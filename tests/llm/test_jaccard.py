@@ -64,6 +64,14 @@ def test_near_copies_and_split_blocks(spark, block):
     assert sorted(str(tuple(r)) for r in got) == plain(rows)
 
 
+def test_wider_shingles_and_a_lower_share(spark):
+    rows = near_rows(3)
+    got = jaccard.jaccard_components(table(spark, rows), width=5, share=80).collect()
+    sets = [(r[0], shingles(r[1], 5)) for r in rows]
+    root = grouped(sets, 80)
+    assert sorted(str(tuple(r)) for r in got) == sorted(str((a, len(s), root(a))) for a, s in sets)
+
+
 def test_split_component_that_representatives_do_not_join(spark):
     """A chain: neighbours link, ends do not, and every part holds some of it."""
     base = [f"c{i}" for i in range(120)]

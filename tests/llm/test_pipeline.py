@@ -25,7 +25,7 @@ def test_stages_and_run(spark, tmp_path):
     rows = rows_of(spark, tmp_path)
     files = encode.encoder(encode.vocabulary()).tokenizer, sentencepiece.SentencePieceProcessor(model_file=encode.vocabulary("piece_bpe_32k.model"))
     rows = [r for r in rows if test_quality.plain(r[1], r[2], *files)[6]]
-    root = test_jaccard.grouped([(r[0], test_jaccard.shingles(r[1])) for r in rows], 90)
+    root = test_jaccard.grouped([(r[0], test_jaccard.shingles(r[1], 5)) for r in rows], 80)
     rows = [r for r in rows if root(r[0]) == r[0]]
     hit = {eval(x)[0] for x in test_decontaminate.plain(rows, [(1, ITEM)])}
     rows = [r for r in rows if r[0] not in hit or r[0] is None]
