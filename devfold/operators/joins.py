@@ -40,7 +40,7 @@ def hot_keys(df: DataFrame, key: str) -> Column:
         per_slot.select(F.inline("top"))
         .groupBy("item")
         .agg(F.sum("count").alias("total"))
-        .orderBy(F.desc("total"))
+        .orderBy(F.desc("total"), "item")
         .limit(HOT_KEYS)
     )
     return best.agg(F.collect_list("item")).scalar()
@@ -53,14 +53,17 @@ def spread_join(
     how: str = "inner",
     sample: DataFrame | None = None,
     salts: int = SALTS,
+    stable: list[str] | None = None,
 ) -> DataFrame:
     """``big`` joined to ``small`` on ``key``, exact for any key distribution.
 
     A small side within the broadcast threshold needs no shuffle, so no key can be
     hot. Beyond it, rows of hot keys are dealt over ``salts`` partitions by a hash
     of the whole row and only the matching rows of ``small`` are repeated; all
-    other rows keep a plain hash join. ``sample`` may name a cheaper frame with the
-    same key distribution (such as the raw table under ``big``).
+    other rows keep a plain hash join. A null key matches nothing, so its rows are
+    dealt the same way without any copy. ``sample`` may name a cheaper frame with the
+    same key distribution (such as the raw table under ``big``). ``stable`` names the
+    columns whose hash deals the rows, where ``big`` has others that a retry may change.
     """
     if how not in ("inner", "left"):
         raise ValueError("only joins that keep the big side whole: inner, left")
@@ -68,8 +71,11 @@ def spread_join(
         return big.join(small, key, how)
     hot = hot_keys(big if sample is None else sample, key)
     is_hot = F.array_contains(hot, F.col(key))
-    dealt = F.when(is_hot, F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int"))
+    row_hash = F.pmod(F.xxhash64(*(stable or big.columns)), F.lit(salts)).cast("int")
+    dealt = F.when(is_hot | F.col(key).isNull(), row_hash)
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1)))
     left = big.withColumn("_salt", F.coalesce(dealt, F.lit(0)))
+    if how == "inner":
+        left = left.where(F.col(key).isNotNull())
     right = small.withColumn("_salt", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
     return left.join(right, [key, "_salt"], how).drop("_salt")

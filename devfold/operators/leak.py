@@ -18,7 +18,7 @@ def first_event(events: DataFrame) -> DataFrame:
 
 def leak_devices(train: DataFrame, test: DataFrame, phones: DataFrame) -> DataFrame:
     """Labelled and unlabelled devices with each of their phone rows."""
-    return spread_join(_numbered(phones), all_devices(train, test), "device_id").select(*COLUMNS)
+    return spread_join(phones, all_devices(train, test), "device_id").select(*COLUMNS)
 
 
 def leak_table(
@@ -32,7 +32,8 @@ def leak_table(
     of identical rows is immaterial, but a large group of them gets split.
     """
     devices = all_devices(train, test).join(first_event(events), "device_id", "left")
-    joined = spread_join(_numbered(phones), devices, "device_id", sample=phones)
+    # rows are dealt by their own columns: a retried scan may number them anew
+    joined = spread_join(_numbered(phones), devices, "device_id", sample=phones, stable=phones.columns)
     ordered = joined.orderBy("phone_brand", "device_model", "device_id", "_at")
     return ordered.select(*COLUMNS, "event")
 

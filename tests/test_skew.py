@@ -92,6 +92,21 @@ def test_string_and_null_keys(spark):
         }
 
 
+def test_null_keys_are_dealt_out(spark):
+    big = spark.range(200_000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("k"), F.col("id").alias("v"))
+    small = spark.range(200_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    with no_broadcast(spark):
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            joined = joins.spread_join(big, small, "k", how="left")
+            sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(sizes) == 200_000 and max(sizes) < 2 * sum(sizes) / len(sizes)
+            assert joined.where("w is null").count() == big.where("k is null").count()
+            assert joins.spread_join(big, small, "k").count() == big.where("k is not null").count()
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_repeated_phone_rows_are_kept_and_split(spark):
     phones = spark.range(30_000).select(
         F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("device_id"),
