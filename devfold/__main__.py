@@ -6,7 +6,7 @@ import argparse
 
 from devfold.plans.stages import STAGES, Run
 from devfold.schemas import FeatureSpace
-from devfold.session import get_session
+from devfold.session import get_session, scratch
 
 
 def main() -> None:
@@ -17,7 +17,7 @@ def main() -> None:
     parser.add_argument("--output", required=True, help="folder for tables, models, submissions")
     parser.add_argument("--labels", type=int, default=FeatureSpace().labels)
     parser.add_argument("--clusters", type=int, default=FeatureSpace().clusters)
-    parser.add_argument("--seed", type=int, default=999)
+    parser.add_argument("--seed", type=int, default=17)
     args = parser.parse_args()
     unknown = set(args.stages) - STAGES.keys()
     if unknown:
@@ -25,7 +25,8 @@ def main() -> None:
     space = FeatureSpace(labels=args.labels, clusters=args.clusters)
     run = Run(get_session(), args.input, args.output, space, seed=args.seed)
     for name in args.stages or STAGES:
-        STAGES[name](run)
+        with scratch(run.spark):  # a stage's own tables go when it ends
+            STAGES[name](run)
 
 
 if __name__ == "__main__":
