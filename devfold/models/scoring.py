@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from devfold.models.stacking import StackedModel, _casted
-from devfold.operators.joins import spread_join
+from devfold.operators.features import vocabulary
 from devfold.schemas import CLASSES
 
 FLOOR = 1e-15  # probabilities below this count as this in the logloss
@@ -50,10 +50,14 @@ def prior_submission(
     classes: Sequence[str] = CLASSES,
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Class frequencies of the device's brand; overall frequencies for an unseen brand."""
+    """Class frequencies of the device's brand; overall frequencies for an unseen brand.
+
+    The joined side has one row per brand; adaptive execution broadcasts it once its
+    real size is known, and splits a hot brand otherwise.
+    """
     known = train.where(F.col("grp").isNotNull())
     overall = known.agg(F.struct(*[_share(c).alias(c) for c in classes])).scalar()
-    joined = spread_join(test, class_frequencies(train, by, classes), by, how="left")
+    joined = test.join(class_frequencies(train, by, classes), by, "left")
     return joined.select(
         "device_id",
         *keep,
@@ -81,18 +85,29 @@ def evaluate(
     )
 
 
-def class_stats(long: DataFrame, devices: DataFrame) -> DataFrame:
+def class_stats(long: DataFrame, devices: DataFrame, names: Sequence[str]) -> DataFrame:
     """Devices, mean and variance per class and feature: what Gaussian naive Bayes learns.
 
-    Absent features are 0, so both moments are sums over the long form divided by
-    the class size.
+    One row for every class and every name of the vocabulary. Within a block an absent
+    feature is 0; a labelled device without the block counts with the block's mean over
+    the labelled devices that have it, as the fitted models see it.
     """
-    sizes = devices.where("grp is not null").groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
-    labelled = long.join(devices.select("device_id", "grp"), "device_id")
-    sums = labelled.groupBy("grp", "feature").agg(
+    spark = long.sparkSession
+    known = devices.where("grp is not null").select("device_id", "grp")
+    sizes = known.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
+    labelled = long.join(known, "device_id")
+    held = labelled.select("device_id", "grp", "block").distinct().groupBy("grp", "block").agg(F.count(F.lit(1)).alias("held"))
+    sums = labelled.groupBy("grp", "block", "feature").agg(
         F.sum("value").alias("s"), F.sum(F.col("value") * F.col("value")).alias("ss")
     )
-    mean = F.col("s") / F.col("n")
-    return sums.join(sizes, "grp").select(
-        "grp", "feature", "n", mean.alias("mean"), (F.col("ss") / F.col("n") - mean * mean).alias("variance")
-    )
+    have = held.groupBy("block").agg(F.sum("held").alias("have"))
+    overall = sums.groupBy("block", "feature").agg(F.sum("s").alias("t")).join(have, "block")
+    centre = overall.select("feature", "block", (F.col("t") / F.col("have")).alias("centre"))
+    named = vocabulary(spark, names).join(centre, "feature", "left")
+    grid = sizes.select("grp", "n", F.explode(F.lit(list(names))).alias("feature")).join(named, "feature")
+    full = grid.join(held, ["grp", "block"], "left").join(sums, ["grp", "block", "feature"], "left")
+    missing = F.when(F.col("block").isNull(), 0).otherwise(F.col("n") - F.coalesce("held", F.lit(0)))
+    mid = F.coalesce("centre", F.lit(0.0))
+    mean = (F.coalesce("s", F.lit(0.0)) + missing * mid) / F.col("n")
+    square = (F.coalesce("ss", F.lit(0.0)) + missing * mid * mid) / F.col("n")
+    return full.select("grp", "feature", "n", mean.alias("mean"), (square - mean * mean).alias("variance"))

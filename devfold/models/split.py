@@ -19,14 +19,6 @@ def hash_split(
     return df.where(part < cut), df.where(part >= cut)
 
 
-def random_split(
-    df: DataFrame, fraction: float = 0.9, seed: int = 0
-) -> tuple[DataFrame, DataFrame]:
-    """Seeded row-wise split; repeatable only while the input's layout is."""
-    first, second = df.randomSplit([fraction, 1 - fraction], seed)
-    return first, second
-
-
 def with_fold(df: DataFrame, folds: int, seed: int = 0, key: str = "device_id") -> DataFrame:
     """Add a ``fold`` number 0..folds-1, stable per key."""
     return df.withColumn("fold", (hash_bucket(key, BUCKETS, seed) % folds).cast("int"))

@@ -10,6 +10,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from devfold.operators.features import placed_inside
 from devfold.schemas import FeatureSpace
 
 BLOCKS = ["labels", "time", "clusters"]
@@ -28,11 +29,12 @@ def block_vectors(
 ) -> DataFrame:
     """One sparse vector of ``size`` entries per device that has rows in ``counts``.
 
-    ``counts`` has one row per device and key and only positions 0..size-1 are
-    gathered, so a group never holds more than ``size`` entries.
+    ``counts`` has one row per device and key; a position beyond ``size`` ends the run,
+    so a group never holds more than ``size`` entries. Rows without a key are left out.
     """
-    slot = F.struct(position.cast("int").alias("at"), F.col(value).cast("double").alias("v"))
-    known = F.when(position.between(0, size - 1) & F.col(value).isNotNull(), slot)
+    position = placed_inside(position.cast("int"), size, name)
+    slot = F.struct(position.alias("at"), F.col(value).cast("double").alias("v"))
+    known = F.when(position.isNotNull() & F.col(value).isNotNull(), slot)
     gathered = counts.groupBy("device_id").agg(F.sort_array(F.collect_list(known)).alias("_e"))
     vector = _sparse(size)(F.col("_e.at"), F.col("_e.v"))
     return gathered.select(

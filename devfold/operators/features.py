@@ -19,15 +19,41 @@ LONG = ["device_id", "block", "feature", "value"]
 # -- long and wide -------------------------------------------------------------
 
 
+def placed_inside(position: Column, size: int, what: str) -> Column:
+    """``position`` where it lies in ``0..size - 1``, null where it is null; others end the run.
+
+    A vocabulary is a parameter. Data outside it must not vanish, so it is an error.
+    """
+    said = F.concat(F.lit(f"{what} outside the vocabulary of {size}: "), position.cast("string"))
+    return F.when(position.isNull() | position.between(0, size - 1), position).otherwise(
+        F.raise_error(said).cast("int")
+    )
+
+
+def outside_vocabulary(counts: DataFrame, key: str, value: str, first: int, size: int) -> DataFrame:
+    """One row: distinct keys, rows and summed values that a vocabulary of ``size`` has no column for."""
+    out = counts.where(F.col(key).isNotNull() & ~F.col(key).between(first, first + size - 1))
+    return out.agg(
+        F.count_distinct(key).alias("n_keys"),
+        F.count(F.lit(1)).alias("n_rows"),
+        F.coalesce(F.sum(value), F.lit(0)).cast("bigint").alias("total"),
+    )
+
+
 def widen(counts: DataFrame, key: str, value: str, columns: Mapping[int, str]) -> DataFrame:
     """Pivot per-device counts to one row per device, 0 where a key is absent.
 
+    ``columns`` names consecutive keys; a key beyond them ends the run.
+
     ``counts`` holds one row per device and key, so a device has at most
     ``len(columns)`` rows that matter. Placing them by device first lets the pivot
     finish inside the partition: its wide buffers are never shuffled.
     """
+    first, place = min(columns), F.col(key).cast("int")
     pivoted = (
-        counts.select("device_id", key, value)
+        counts.select(
+            "device_id", (placed_inside(place - first, len(columns), key) + first).alias(key), value
+        )
         .repartition("device_id")
         .groupBy("device_id")
         .pivot(key, list(columns))
@@ -51,9 +77,9 @@ class Block:
     first: int = 0
 
     def placed(self, offset: int, flag: int) -> DataFrame:
-        """``(device_id, at, value, flag)``; a key outside the names has a null place."""
+        """``(device_id, at, value, flag)``; a null key has a null place, one outside the names ends the run."""
         at = F.lit(0) if self.key is None else F.col(self.key) - self.first
-        inside = F.when(at.between(0, len(self.names) - 1), at + offset)
+        inside = placed_inside(at.cast("int"), len(self.names), self.key or self.value) + offset
         return self.counts.where(F.col(self.value).isNotNull()).select(
             "device_id",
             inside.cast("int").alias("at"),
@@ -69,17 +95,15 @@ def attach_blocks(attributes: DataFrame, *blocks: Block) -> DataFrame:
     throughout a block the device lacks: each block adds one more position that
     marks its presence. Attributes meet the counts while those are still long, and
     one pivot widens everything, so rows of a thousand columns are neither
-    shuffled, sorted nor joined. The partition count is the session's own, not
-    derived from the small input, because the output is far larger.
+    shuffled, sorted nor joined. Adaptive execution sizes the partitions.
     """
-    n = int(attributes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     offsets = [sum(len(b.names) for b in blocks[:i]) for i in range(len(blocks))]
     flags = [-1 - i for i in range(len(blocks))]
     tall = reduce(
         DataFrame.unionByName, [b.placed(o, f) for b, o, f in zip(blocks, offsets, flags)]
     )
     present = F.struct(F.col("flag").alias("at"), F.lit(1).cast("bigint").alias("value"))
-    cells = tall.repartition(n, "device_id").select(
+    cells = tall.repartition("device_id").select(
         "device_id", F.inline(F.array(F.struct("at", "value"), present))
     )
     positions = flags + list(range(sum(len(b.names) for b in blocks)))
@@ -214,10 +238,13 @@ def scale_factors(names: Iterable[str], *sides: DataFrame) -> DataFrame:
 def apply_scale(long: DataFrame, factors: DataFrame) -> DataFrame:
     """Divide each value by its feature's factor; a zero factor gives null.
 
+    A feature without a factor keeps its value.
+
     ``factors`` comes from a vocabulary (see ``scale_factors``), which bounds the
     broadcast; a feature that every device has therefore never becomes a hot join key.
     """
-    scaled = F.try_divide(F.col("value"), F.col("factor"))
+    divided = F.try_divide(F.col("value"), F.col("factor"))
+    scaled = F.when(F.col("factor").isNull(), F.col("value")).otherwise(divided)
     joined = long.join(F.broadcast(factors), "feature", "left")
     return joined.select("device_id", "block", "feature", scaled.alias("value"))
 
@@ -263,12 +290,6 @@ def replace_columns(df: DataFrame, mapping: Mapping[str, Column | str]) -> DataF
     return out.withColumnsRenamed(renames)
 
 
-def feature_columns(df: DataFrame, ignore: Iterable[str]) -> list[str]:
-    """Columns left as model inputs once ids, targets or whole blocks are ignored."""
-    ignored = set(ignore)
-    return [c for c in df.columns if c not in ignored]
-
-
 def category_indexer(columns: list[str]) -> StringIndexer:
     """Alphabetical codes; levels unseen in training and nulls share one extra code."""
     return StringIndexer(

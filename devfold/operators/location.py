@@ -19,7 +19,6 @@ from devfold.session import materialize
 
 AXES = ["longitude", "latitude"]
 DISTANCES_AT_ONCE = 100_000
-MANY_CENTRES = 64
 
 
 def nowhere() -> Column:
@@ -112,8 +111,7 @@ def nearest_cluster(clusters: Clusters | Sequence[tuple[float, float]]) -> Colum
     """Number of the nearest centre, the lower one on a tie, null without a location.
 
     Centres are a model of k rows, so they travel with the task. Each Arrow batch is
-    compared in pieces that stay in cache; with many centres it is reduced to its
-    distinct places first.
+    reduced to its distinct places and compared in pieces that stay in cache.
     """
     if not isinstance(clusters, Clusters):
         clusters = Clusters(list(clusters))
@@ -126,9 +124,7 @@ def nearest_cluster(clusters: Clusters | Sequence[tuple[float, float]]) -> Colum
         x = longitude.to_numpy(zero_copy_only=False).astype(float)
         y = latitude.to_numpy(zero_copy_only=False).astype(float)
         missing = np.isnan(x) | np.isnan(y)
-        places, back = np.where(missing, 0, x + 1j * y), slice(None)
-        if len(centres) > MANY_CENTRES:
-            places, back = np.unique(places, return_inverse=True)
+        places, back = np.unique(np.where(missing, 0, x + 1j * y), return_inverse=True)
         best = np.empty(len(places), dtype="int32")
         for at in range(0, len(places), rows):
             part = places[at : at + rows, None]

@@ -52,7 +52,8 @@ class Profiles:
 
     @cached_property
     def rollup(self) -> DataFrame:
-        return location.activity_rollup(self.sources.events, self.clusters)
+        """Written once, since three blocks are sums over it."""
+        return materialize(location.activity_rollup(self.sources.events, self.clusters))
 
     @cached_property
     def slice_counts(self) -> DataFrame:
@@ -75,6 +76,11 @@ class Profiles:
         unlabelled = attributes.with_missing_labels(self.sources.test)
         return attributes.base_attributes(unlabelled, self.sources.phones)
 
+    @cached_property
+    def people(self) -> DataFrame:
+        """Train and test devices; the latter have neither gender, age nor group."""
+        return self.train_attributes.unionByName(self.test_attributes)
+
     def base(self, attrs: DataFrame) -> DataFrame:
         return labels.label_matrix(attrs, self.label_counts, self.space.labels)
 
@@ -98,20 +104,26 @@ class Profiles:
             location.cluster_block(self.cluster_counts, self.space.clusters),
         )
 
-    def long(self) -> DataFrame:
-        return features.long_features(
-            self.label_counts, self.slice_counts, self.totals, self.cluster_counts
+    @cached_property
+    def _long(self) -> DataFrame:
+        return materialize(
+            features.long_features(
+                self.label_counts, self.slice_counts, self.totals, self.cluster_counts
+            )
         )
 
+    def long(self) -> DataFrame:
+        """All blocks in long form, written once: factors and values are both read from it."""
+        return self._long
+
     def model_frames(self) -> tuple[DataFrame, DataFrame]:
         """Train and test vectors, missing blocks filled with the training means.
 
         Written once: every fit below reads its columns several times.
         """
-        people = self.train_attributes.unionByName(self.test_attributes)
         vectors = materialize(
             profile_vectors(
-                people,
+                self.people,
                 self.label_counts,
                 self.slice_counts,
                 self.totals,

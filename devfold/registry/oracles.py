@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from devfold.models.fit import ALL_INPUTS, input_names
 from devfold.registry.queries import DIGITS, GRID, GROUPS, SPACE, VOCABULARY
 
 DAY_SECONDS = "(hour(ts) * 3600 + minute(ts) * 60 + second(ts))"
@@ -17,11 +18,10 @@ def _quoted(names: list[str]) -> str:
 
 def _wide(key: str, value: str, columns: dict[int, str], source: str) -> str:
     """One row per device of ``source`` with a summed column per key."""
-    sums = ", ".join(
-        f'CAST(coalesce(sum({value}) FILTER (WHERE {key} = {k}), 0) AS BIGINT) AS "{c}"'
-        for k, c in columns.items()
-    )
-    return f"SELECT device_id, {sums} FROM {source} GROUP BY device_id"
+    cells = ", ".join(f'CAST(coalesce("{k}", 0) AS BIGINT) AS "{c}"' for k, c in columns.items())
+    keys = ", ".join(map(str, columns))
+    tall = f"SELECT device_id, {key}, {value} FROM {source}"
+    return f"SELECT device_id, {cells} FROM (PIVOT ({tall}) ON {key} IN ({keys}) USING sum({value}) GROUP BY device_id)"
 
 
 LABEL_COLUMNS = {i + 1: c for i, c in enumerate(SPACE.label_names)}
@@ -47,7 +47,13 @@ PARTS = {
     "base": """
         SELECT device_id, CAST(CASE WHEN gender = 'F' THEN 0 ELSE 1 END AS INT) AS gender, age,
                phone_brand AS brand, device_model AS model, grp
-        FROM attrs""",
+        FROM attrs
+        UNION ALL SELECT device_id, NULL, NULL, phone_brand, device_model, NULL
+        FROM test JOIN phones USING (device_id)""",
+    "everyone": """
+        SELECT * FROM attrs
+        UNION ALL SELECT device_id, NULL, NULL, phone_brand, device_model, NULL
+        FROM test JOIN phones USING (device_id)""",
     "label_apps": """
         SELECT DISTINCT o_custkey AS device_id, p_size AS label_id, l_partkey AS app_id
         FROM part JOIN lineitem ON p_partkey = l_partkey JOIN orders ON l_orderkey = o_orderkey""",
@@ -102,8 +108,10 @@ PARTS = {
               USING (feature)
               GROUP BY feature)""",
     "factor_row": "SELECT "
-    + ", ".join(f"max(factor) FILTER (WHERE feature = '{c}') AS \"f_{c}\"" for c in SPACE.names)
-    + " FROM factors",
+    + ", ".join(f'"{c}" AS "f_{c}"' for c in SPACE.names)
+    + " FROM (PIVOT (SELECT feature, factor FROM factors) ON feature IN ("
+    + ", ".join(f"'{c}'" for c in SPACE.names)
+    + ") USING max(factor))",
     "label_stats": """
         SELECT feature, CASE WHEN count(*) < n THEN CAST(0 AS DOUBLE) ELSE min(value) END AS min,
                max(value) AS max, sum(value) / n AS mean
@@ -224,7 +232,7 @@ def oracles() -> dict[str, str]:
         "device_label_apps": "SELECT * FROM label_apps",
         "device_label_counts": "SELECT * FROM label_counts",
         "device_attributes": "SELECT * FROM attrs",
-        "device_label_long": "SELECT * FROM attrs LEFT JOIN label_counts USING (device_id)",
+        "device_label_long": "SELECT * FROM everyone LEFT JOIN label_counts USING (device_id)",
         "device_label_strings": """
             SELECT device_id, string_agg(CAST(label_id AS VARCHAR), ',' ORDER BY label_id) AS labels,
                    string_agg(CAST(ile AS VARCHAR), ',' ORDER BY label_id) AS iles
@@ -296,7 +304,8 @@ def oracles() -> dict[str, str]:
             SELECT * FROM label_long WHERE feature NOT IN (SELECT feature FROM constants)""",
         "scale_factors": f"SELECT feature, round(factor, {DIGITS}) AS factor FROM factors",
         "scaled_features": f"""
-            SELECT device_id, feature, round(value / nullif(factor, 0), {DIGITS}) AS value
+            SELECT device_id, feature, round(CASE WHEN factor IS NULL THEN value
+                   ELSE value / nullif(factor, 0) END, {DIGITS}) AS value
             FROM long LEFT JOIN factors USING (feature)""",
         "scaled_profile": f"""
             SELECT device_id, gender, age, brand, model, grp,
@@ -322,9 +331,40 @@ def oracles() -> dict[str, str]:
             SELECT device_id, CASE WHEN {md5_bucket} < 9000 THEN 'train' ELSE 'valid' END AS part
             FROM devices""",
         "nb_class_stats": f"""
-            SELECT grp, feature, n, round(mu, {DIGITS}) AS mean,
-                   round(sq - mu * mu, {DIGITS}) AS variance
-            FROM class_moments""",
+            SELECT grp, feature, n, round(m1, {DIGITS}) AS mean, round(m2 - m1 * m1, {DIGITS}) AS variance
+            FROM (SELECT c.grp, c.feature, c.n,
+                         c.mu + (c.n - have) * coalesce(mid, 0) / c.n AS m1,
+                         c.sq + (c.n - have) * coalesce(mid, 0) * coalesce(mid, 0) / c.n AS m2
+                  FROM nb_cells c
+                  JOIN (SELECT grp, count(*) FILTER (WHERE device_id IN (SELECT device_id FROM label_counts)) AS have
+                        FROM train GROUP BY grp) h USING (grp)
+                  LEFT JOIN (SELECT feature, sum(value) / (SELECT count(*) FROM train
+                                 WHERE device_id IN (SELECT device_id FROM label_counts)) AS mid
+                             FROM label_long JOIN train USING (device_id) GROUP BY feature) o USING (feature))""",
+        "outside_vocabulary": f"""
+            SELECT 'labels' AS block, count(DISTINCT label_id) AS n_keys, count(*) AS n_rows,
+                   CAST(coalesce(sum(ile), 0) AS BIGINT) AS total
+            FROM label_counts WHERE label_id NOT BETWEEN 1 AND {SPACE.labels}
+            UNION ALL SELECT 'first 20 labels', count(DISTINCT label_id), count(*),
+                   CAST(coalesce(sum(ile), 0) AS BIGINT)
+            FROM label_counts WHERE label_id NOT BETWEEN 1 AND 20
+            UNION ALL SELECT 'time', count(DISTINCT slice), count(*), CAST(coalesce(sum(c), 0) AS BIGINT)
+            FROM slice_counts WHERE slice NOT BETWEEN 1 AND {SPACE.slices}""",
+        "kmeans_check": """
+            SELECT count(*) AS n_events, CAST(0 AS BIGINT) AS n_wrong, TRUE AS within_k
+            FROM activity WHERE longitude IS NOT NULL AND latitude IS NOT NULL""",
+        "importance_total": f"""
+            SELECT CAST({len(input_names(ALL_INPUTS, SPACE))} AS BIGINT) AS n, CAST(1 AS DOUBLE) AS total""",
+        "grid_settings": """
+            SELECT CAST(t AS INT) AS trees, CAST(d AS INT) AS depth, TRUE AS scored
+            FROM (VALUES (5, 3), (5, 5), (10, 3), (10, 5)) AS v(t, d)""",
+        **{
+            f"{name}_totals": "SELECT device_id, CAST(1 AS DOUBLE) AS total FROM test JOIN phones USING (device_id)"
+            for name in ("nb", "forest", "mlp", "stacked", "submission")
+        },
+        "full_totals": """
+            SELECT device_id, CAST(1 AS DOUBLE) AS total FROM test JOIN phones USING (device_id)
+            WHERE device_id IN (SELECT device_id FROM activity)""",
         "nb_label_scores": "SELECT * FROM nb_wide",
         "prior_submission": "SELECT device_id, "
         + ", ".join(f"round(coalesce({g}, o_{g}), {DIGITS}) AS {g}" for g in GROUPS)

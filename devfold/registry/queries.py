@@ -24,12 +24,12 @@ from devfold.session import materialize, scratch_path
 from devfold.sources import load_model, read_inferred, read_table, save_model, write_csv
 from devfold.sources.roles import Roles
 
-# Parameters of the registered runs. The generic tables carry labels 1..50 and
-# five groups; the grid stands in for fitted centres where SQL must agree.
-SPACE = FeatureSpace(labels=50, slices=144, clusters=16)
-VOCABULARY = FeatureSpace().label_names
+# Parameters of the registered runs: the whole feature space, and the five groups of
+# the generic tables. The grid stands in for fitted centres where SQL must agree.
+SPACE = FeatureSpace()
+VOCABULARY = SPACE.label_names
 GROUPS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-GRID = [(x, y) for x in (-37.5, -12.5, 12.5, 37.5) for y in (5.0, 15.0, 30.0, 60.0)]
+GRID = [(2.5 * i - 48.75, 4.0 * j + 2.0) for i in range(40) for j in range(25)]
 DIGITS = 6
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -164,8 +164,9 @@ def device_attributes(r: Roles) -> DataFrame:
 
 @query("device_label_long")
 def device_label_long(r: Roles) -> DataFrame:
+    known = attributes.device_attributes(r.train(), r.phones())
     return labels.device_label_long(
-        attributes.device_attributes(r.train(), r.phones()), _label_counts(r)
+        known.unionByName(attributes.unlabelled_profile(r.test(), r.phones())), _label_counts(r)
     )
 
 
@@ -182,7 +183,7 @@ def parse_label_list(r: Roles) -> DataFrame:
 @query("label_matrix")
 def label_matrix(r: Roles) -> DataFrame:
     p = profiles(r)
-    return p.base(p.train_attributes)
+    return p.base(p.people)
 
 
 @query("label_categories")
@@ -206,19 +207,19 @@ def unlabelled_profile(r: Roles) -> DataFrame:
 @query("full_profile")
 def full_profile(r: Roles) -> DataFrame:
     p = profiles(r)
-    return p.full(p.train_attributes)
+    return p.full(p.people)
 
 
 @query("empty_profile")
 def empty_profile(r: Roles) -> DataFrame:
     p = profiles(r)
-    return p.empty(p.train_attributes)
+    return p.empty(p.people)
 
 
 @query("all_profile")
 def all_profile(r: Roles) -> DataFrame:
     p = profiles(r)
-    return p.all(p.train_attributes)
+    return p.all(p.people)
 
 
 @query("all_devices")
@@ -282,6 +283,43 @@ def activity_rollup(r: Roles) -> DataFrame:
     return location.activity_rollup(r.events(), GRID)
 
 
+@query("outside_vocabulary")
+def outside_vocabulary(r: Roles) -> DataFrame:
+    """What the registered vocabularies have no column for; profiles refuse to drop it."""
+    slices = timeofday.device_slice_counts(r.events())
+    found = [
+        ("labels", features.outside_vocabulary(_label_counts(r), "label_id", "ile", 1, SPACE.labels)),
+        ("first 20 labels", features.outside_vocabulary(_label_counts(r), "label_id", "ile", 1, 20)),
+        ("time", features.outside_vocabulary(slices, "slice", "c", 1, SPACE.slices)),
+    ]
+    named = [df.select(F.lit(name).alias("block"), "*") for name, df in found]
+    return named[0].unionByName(named[1]).unionByName(named[2])
+
+
+@query("kmeans_check")
+def kmeans_check(r: Roles) -> DataFrame:
+    """What holds for any fitted centres: every located event counted, none nearer to another centre."""
+    events = r.events().where("longitude is not null and latitude is not null")
+    found = location.fit_clusters(events, k=SPACE.clusters, seed=7)
+    places = location.assign_clusters(events, found).groupBy("longitude", "latitude", "cluster").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    centres = F.lit([list(c) for c in found.centres])
+    sx, sy = found.scale
+
+    def far(c: F.Column) -> F.Column:
+        x, y = (F.col("longitude") - c[0]) / sx, (F.col("latitude") - c[1]) / sy
+        return x * x + y * y
+
+    own = far(F.get(centres, F.col("cluster")))
+    nearest = F.array_min(F.transform(centres, far))
+    return places.select("n", (own > nearest + 1e-9).alias("wrong"), "cluster").agg(
+        F.sum("n").alias("n_events"),
+        F.count_if("wrong").alias("n_wrong"),
+        (F.max("cluster") < SPACE.clusters).alias("within_k"),
+    )
+
+
 @query("kmeans_clusters")
 def kmeans_clusters(r: Roles) -> DataFrame:
     events = r.events()
@@ -355,7 +393,7 @@ def scaled_features(r: Roles) -> DataFrame:
 @query("scaled_profile")
 def scaled_profile(r: Roles) -> DataFrame:
     p = profiles(r)
-    wide = features.scale_wide(p.all(p.train_attributes), _factors(r, p.long()))
+    wide = features.scale_wide(p.all(p.people), _factors(r, p.long()))
     return rounded(wide, *SPACE.names)
 
 
@@ -416,7 +454,7 @@ def hash_split(r: Roles) -> DataFrame:
 
 @query("nb_class_stats")
 def nb_class_stats(r: Roles) -> DataFrame:
-    stats = scoring.class_stats(_label_long(r), r.train())
+    stats = scoring.class_stats(_label_long(r), r.train(), SPACE.label_names)
     return rounded(stats, "mean", "variance")
 
 
@@ -487,6 +525,52 @@ def grid_search(r: Roles) -> DataFrame:
     return fit.grid_search(train, fit.BASE_INPUTS, GROUPS, trees=(5, 10), depths=(3, 5), seed=7)
 
 
+def _full_scores(r: Roles) -> DataFrame:
+    """Devices with activity, on attributes, labels and time of day."""
+    p = profiles(r)
+    train, test = (population.active_devices(df, p.slice_counts) for df in p.model_frames())
+    model = fit.fit_mlp(train, fit.FULL_INPUTS, GROUPS, fit.Network((16, 8), 30), seed=7)
+    return scoring.submission(model, test, GROUPS)
+
+
+@query("full_submission")
+def full_submission(r: Roles) -> DataFrame:
+    return _full_scores(r)
+
+
+@query("mlp_importances")
+def mlp_importances(r: Roles) -> DataFrame:
+    train, _ = profiles(r).model_frames()
+    model = fit.fit_mlp(train, fit.BASE_INPUTS, GROUPS, fit.Network((16, 8), 30), seed=7)
+    return fit.network_importances(model, fit.BASE_INPUTS, SPACE, train)
+
+
+def _totals(scores: DataFrame) -> DataFrame:
+    """Scored devices with the sum of their probabilities, which SQL knows without the model."""
+    total = sum((F.col(f"`{g}`") for g in GROUPS), F.lit(0.0))
+    return scores.select("device_id", F.round(total, DIGITS).alias("total"))
+
+
+for _name, _scores in [
+    ("nb", nb_scores), ("forest", forest_scores), ("mlp", mlp_scores), ("stacked", stacked_scores),
+    ("submission", submission), ("full", _full_scores),
+]:
+    query(f"{_name}_totals")(lambda r, scores=_scores: _totals(scores(r)))
+
+
+@query("importance_total")
+def importance_total(r: Roles) -> DataFrame:
+    return forest_importances(r).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("importance"), DIGITS).alias("total")
+    )
+
+
+@query("grid_settings")
+def grid_settings(r: Roles) -> DataFrame:
+    """All settings of the grid, each with a finite loss."""
+    return grid_search(r).select("trees", "depth", (F.col("logloss") > 0).alias("scored"))
+
+
 @query("prior_submission")
 def prior_submission(r: Roles) -> DataFrame:
     p = profiles(r)

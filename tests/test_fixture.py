@@ -95,12 +95,17 @@ def test_label_block_missing_or_zero(base):
     assert base.schema.fieldNames() == table_schema("base_profile").fieldNames()
 
 
-def test_label_outside_the_vocabulary_keeps_the_block_present(tables, label_counts):
+def test_label_outside_the_vocabulary_ends_the_run(tables, label_counts):
     attrs = attributes.base_attributes(
         tables["gender_age_train"], tables["phone_brand_device_model"]
     )
-    found = labels.label_matrix(attrs, label_counts, 10).where("device_id = 2").head()
-    assert [found[str(i)] for i in range(1, 11)] == [0] * 10
+    with pytest.raises(Exception, match="outside the vocabulary of 50"):
+        labels.label_matrix(attrs, label_counts, 50).collect()
+    with pytest.raises(Exception, match="outside the vocabulary of 1"):
+        location.cluster_histogram(label_counts.selectExpr("device_id", "1 as cluster", "ile as n"), 1).collect()
+    found = features.outside_vocabulary(label_counts, "label_id", "ile", 1, 50)
+    assert rows(found) == {(1, 1, 1)}
+    assert rows(features.outside_vocabulary(label_counts, "label_id", "ile", 1, 1021)) == {(0, 0, 0)}
 
 
 def test_attributes_one_row_per_device(tables):
@@ -220,6 +225,8 @@ def test_scale_factors(spark):
     zero = _long(spark, [(1, "labels", "a", 0.0), (1, "labels", "d", 6.0)])
     scaled = features.apply_scale(zero, factors).select("feature", "value")
     assert rows(scaled) == {("a", None), ("d", 2.0)}
+    unknown = features.apply_scale(_long(spark, [(1, "labels", "new", 6.0)]), factors)
+    assert rows(unknown.select("feature", "value")) == {("new", 6.0)}
     wide = spark.createDataFrame([(1, 0, 6)], "device_id long, a long, d long")
     assert rows(features.scale_wide(wide, factors)) == {(1, None, 2.0)}
 
@@ -254,7 +261,6 @@ def test_replace_columns(spark):
     df = spark.createDataFrame([(1, 2, 3)], "a int, b int, c int")
     found = features.replace_columns(df, {"a": F.col("b") * 10, "z": "c"})
     assert found.columns == ["a", "b", "z"] and rows(found) == {(20, 2, 3)}
-    assert features.feature_columns(df, ["a"]) == ["b", "c"]
 
 
 def test_reconcile_and_peek(tables, slice_counts):

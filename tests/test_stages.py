@@ -69,7 +69,7 @@ def populated(spark, run, tmp_path_factory):
 def test_model_stages(spark, populated):
     for name in ("time_events", "cluster_events", "munge"):
         STAGES[name](populated)
-    for name in ("base", "empty", "all", "stacked"):
+    for name in ("full", "empty", "all", "stacked"):
         STAGES[f"model_{name}"](populated)
         found = spark.read.csv(f"{populated.outputs}/submit_{name}", header=True, inferSchema=True)
         assert found.columns == ["device_id", *populated.classes]
