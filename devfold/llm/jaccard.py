@@ -26,7 +26,7 @@ from devfold.llm.components import components
 
 WIDTH, SHARE = 3, 90
 #: Bytes of sets that one block holds, and signatures that one bucket holds, about.
-BLOCK_BYTES, BUCKET_ROWS = 4 << 20, 1_000_000
+BLOCK_BYTES, BUCKET_ROWS = 16 << 20, 1_000_000
 #: Coarse members (16 bytes each) up to which their list is broadcast to the texts.
 BROADCAST_ROWS = 1_000_000
 
@@ -140,7 +140,7 @@ def coarse(docs: DataFrame, width: int = WIDTH, share: int = SHARE) -> DataFrame
         return pa.table({"src": found[:, 0], "dst": found[:, 1]})
 
     cells = docs.where("doc_id IS NOT NULL").mapInArrow(sign, "bucket int, edges boolean, cell binary")
-    return cells.groupBy("bucket").applyInArrow(meet, "src long, dst long").distinct()
+    return cells.groupBy("bucket").applyInArrow(meet, "src long, dst long")
 
 
 def sized(docs: DataFrame, width: int = WIDTH) -> DataFrame:
