@@ -1,7 +1,8 @@
 """Self-join of sets by a prefix tree, for the sets of one block.
 
-Elements are ranked by frequency, so sets that resemble each other share long paths. A
-probe walks the tree once and carries the overlap of the shared path; a subtree is left
+Elements are ranked by frequency, so sets that resemble each other share long paths.
+Elements of a single set can match nothing: they count for its size, but not for what
+overlap it can still reach, and are not stored. A probe walks the tree once and carries the overlap of the shared path; a subtree is left
 when even its remaining lengths cannot reach the required overlap, or when all its sets
 are known to be in the probe's component.
 """
@@ -12,12 +13,12 @@ import numpy as np
 
 
 class Node:
-    __slots__ = ("run", "children", "least", "most", "ends", "roots")
+    __slots__ = ("run", "children", "most", "ends", "roots")
 
     def __init__(self, run: np.ndarray) -> None:
         self.run = run
         self.children: dict[int, Node] = {}
-        self.least, self.most = 1 << 60, 0
+        self.most = 0  # elements stored on the longest path through here
         self.ends: list[int] = []
         self.roots: set[int] = set()
 
@@ -40,13 +41,16 @@ class Forest:
 
 
 def ranked(sets: list[np.ndarray]) -> list[np.ndarray]:
-    """Each set as ascending ranks; the most frequent element of all sets has rank 0."""
+    """The elements that each set shares with others, as ascending ranks; the most frequent one has rank 0."""
     flat = np.concatenate(sets)
     values, which, counts = np.unique(flat, return_inverse=True, return_counts=True)
     rank = np.empty(len(values), np.int64)
     rank[np.lexsort((values, -counts))] = np.arange(len(values))
-    parts = np.split(rank[which], np.cumsum([len(s) for s in sets])[:-1])
-    return [np.sort(p) for p in parts]
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    shared = counts[which] > 1
+    owner, place = owner[shared], rank[which][shared]
+    order = np.lexsort((place, owner))
+    return np.split(place[order], np.searchsorted(owner[order], np.arange(1, len(sets))))
 
 
 def needed(a: int, b: int, share: int) -> int:
@@ -62,9 +66,10 @@ def common(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def insert(root: Node, item: np.ndarray, number: int) -> None:
+    """Add the shared elements of set ``number``."""
     node, at = root, 0
     while True:
-        node.least, node.most = min(node.least, len(item)), max(node.most, len(item))
+        node.most = max(node.most, len(item))
         node.roots.add(number)
         if at == len(item):
             node.ends.append(number)
@@ -75,7 +80,7 @@ def insert(root: Node, item: np.ndarray, number: int) -> None:
         same = common(child.run, item[at:])
         if same < len(child.run):
             top = Node(child.run[:same])
-            top.least, top.most, top.roots = child.least, child.most, set(child.roots)
+            top.most, top.roots = child.most, set(child.roots)
             child.run = child.run[same:]
             top.children[int(child.run[0])] = child
             node.children[first] = child = top
@@ -102,35 +107,35 @@ def links(sets: list[np.ndarray], share: int, known: list[int] | None = None) ->
     if len(filled) < 2:
         return []
     items = dict(zip(filled, ranked([sets[i] for i in filled]), strict=True))
-    root, found = Node(np.zeros(0, np.int64)), []
-    for number in sorted(filled, key=lambda i: (len(items[i]), i)):
+    trees: dict[int, Node] = {}  # one for each full size, so that the required overlap is exact
+    found: list[tuple[int, int]] = []
+    for number in sorted(filled, key=lambda i: (len(sets[i]), i)):
         item = items[number]
-        size = len(item)
-        stack = [(root, 0, 0, 0)]
+        size, stored = len(sets[number]), len(item)
+        stack = [(tree, needed(size, n, share), 0, 0, 0) for n, tree in trees.items() if 100 * n >= share * size]
         while stack:
-            node, at, matched, depth = stack.pop()
+            node, need, at, matched, depth = stack.pop()
             if not node.roots or _settled(node, forest, forest.find(number)):
                 continue
             run = node.run
             if len(run):
                 if len(run) == 1:
                     place = int(np.searchsorted(item[at:], run[0])) + at
-                    hit = place < size and item[place] == run[0]
+                    hit = place < stored and item[place] == run[0]
                     matched, at = matched + hit, place + hit
                 else:
                     place = np.searchsorted(item[at:], run) + at
-                    inside = place < size
+                    inside = place < stored
                     matched += int((item[place[inside]] == run[inside]).sum())
                     at = int(np.searchsorted(item[at:], run[-1], "right")) + at
                 depth += len(run)
-            if matched + min(size - at, node.most - depth) < needed(size, node.least, share):
+            if matched + min(stored - at, node.most - depth) < need:
                 continue
-            for other in node.ends:
-                if matched >= needed(size, len(items[other]), share) and forest.union(number, other):
-                    found.append((number, other))
-            straight = node.children.get(int(item[at])) if at < size else None
-            stack.extend((c, at, matched, depth) for c in node.children.values() if c is not straight)
+            if matched >= need:
+                found.extend((number, other) for other in node.ends if forest.union(number, other))
+            straight = node.children.get(int(item[at])) if at < stored else None
+            stack.extend((c, need, at, matched, depth) for c in node.children.values() if c is not straight)
             if straight is not None:
-                stack.append((straight, at, matched, depth))
-        insert(root, item, number)
+                stack.append((straight, need, at, matched, depth))
+        insert(trees.setdefault(size, Node(np.zeros(0, np.int64))), item, number)
     return found
