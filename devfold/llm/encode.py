@@ -21,7 +21,7 @@ from devfold.llm import words as W
 #: Words kept in one worker's table; beyond that it starts again. Bounds memory only.
 KEPT_WORDS = 2_000_000
 #: Text encoded at once.
-RUN_BYTES = 2 << 20
+RUN_BYTES = 4 << 20
 _MARKS = np.zeros(256, bool)
 _MARKS[list(b".,;:!?")] = True
 _ALNUM = np.zeros(256, bool)

@@ -31,7 +31,7 @@ END_ID = 2
 #: Text of one shard.
 SHARD_BYTES = 4 << 20
 #: New rules a round, rounds at most, and uses under which a pair gets no rule.
-ROUND_RULES, ROUNDS, LEAST_USES = 4096, 8, 6
+ROUND_RULES, ROUNDS, LEAST_USES = 4096, 6, 6
 #: Rounds end when one shortens the sequence by less than this share.
 LEAST_GAIN = 0.02
 #: Pairs are counted in hash cells, at most this power of two.
@@ -66,19 +66,27 @@ class Shard:
         return cls(ids, nulls, ends, base, pairs.reshape(-1, 2), sizes, seq)
 
     def expansions(self) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all rules in a row, and where each begins; a rule uses earlier ones only."""
+        """Ids of all rules in a row, and where each begins; rules of one depth are filled together."""
         ends = np.concatenate([[0], np.cumsum(self.sizes.astype(np.int64))])
         out = np.empty(int(ends[-1]), np.uint32)
-        for i, (left, right) in enumerate(self.rules.tolist()):
-            at = int(ends[i])
-            for symbol in (left, right):
-                if symbol < self.base:
-                    out[at] = symbol
-                    at += 1
-                else:
-                    s, e = int(ends[symbol - self.base]), int(ends[symbol - self.base + 1])
-                    out[at : at + e - s] = out[s:e]
-                    at += e - s
+        child = self.rules.astype(np.int64) - self.base
+        depth, before = np.zeros(len(child), np.int64), None
+        while before is None or (depth != before).any():  # a rule uses earlier ones only
+            before = depth
+            depth = 1 + np.where(child >= 0, depth[np.maximum(child, 0)], 0).max(1) if len(child) else depth
+        for level in range(1, int(depth.max(initial=0)) + 1):
+            own = np.flatnonzero(depth == level)
+            at = ends[own]
+            for side in (0, 1):
+                part = child[own, side]
+                plain = part < 0
+                out[at[plain]] = self.rules[own[plain], side]
+                part, place = part[~plain], at[~plain]
+                size = ends[part + 1] - ends[part]
+                out[W.runs(place, size)] = out[W.runs(ends[part], size)]
+                at = at.copy()
+                at[plain] += 1
+                at[~plain] += size
         return out, ends
 
     def _lengths(self, symbols: np.ndarray) -> np.ndarray:
@@ -118,8 +126,9 @@ def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.nda
         left, right = seq[:-1], seq[1:]
         cell = (left * np.uint32(0x9E3779B1) ^ right * np.uint32(0x85EBCA77)) >> np.uint32(32 - power)
         counts = np.bincount(cell, minlength=1 << power)
-        top = np.argpartition(counts, -min(ROUND_RULES, len(counts)))[-ROUND_RULES:]
-        top = top[counts[top] >= LEAST_USES]
+        top = np.flatnonzero(counts >= LEAST_USES)
+        if len(top) > ROUND_RULES:
+            top = top[np.argpartition(counts[top], -ROUND_RULES)[-ROUND_RULES:]]
         if not len(top):
             break
         top = top[np.lexsort((top, -counts[top]))]
