@@ -19,7 +19,7 @@ def plain(text, lang, tokenizer, pieces):
     covered = {j for i in range(len(own) - 2) if seen[tuple(own[i : i + 3])] > 1 for j in range(i, i + 3)}
     ids = tokenizer.encode(text, add_special_tokens=False).ids
     counts = Counter(ids)
-    entropy = -sum(c / len(ids) * math.log2(c / len(ids)) for c in counts.values()) if ids else 0.0
+    entropy = abs(sum(c / len(ids) * math.log2(c / len(ids)) for c in counts.values())) if ids else 0.0
     flat = [i for w in own for i in pieces.encode(w)]
     fallback = sum(pieces.is_byte(i) for i in flat) / max(1, len(flat))
     chars = sum(map(len, own))
