@@ -2,26 +2,48 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from devfold.operators.features import placed_inside
 from devfold.schemas import FeatureSpace
 
 BLOCKS = ["labels", "time", "clusters"]
 
+# How a vector is stored (kind 0 is sparse).
+FIELDS = [
+    pa.field("type", pa.int8(), False),
+    pa.field("size", pa.int32()),
+    pa.field("indices", pa.list_(pa.int32())),
+    pa.field("values", pa.list_(pa.float64())),
+]
 
-def _sparse(size: int) -> Callable[..., Column]:
-    @F.udf(VectorUDT(), useArrow=True)
-    def build(positions: list[int], values: list[float]) -> object:
-        return Vectors.sparse(size, positions, values)
 
-    return build
+def _sparse(gathered: DataFrame, size: int, name: str) -> DataFrame:
+    """``(device_id, at, v)`` with lists of positions and values to one sparse vector column.
+
+    A whole Arrow batch becomes vectors at once: the lists are the vectors' own fields, so
+    nothing is touched row by row.
+    """
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kind, width = np.zeros(batch.num_rows, np.int8), np.full(batch.num_rows, size, np.int32)
+            parts = [pa.array(kind), pa.array(width), *(batch.column(i).cast(f.type) for i, f in ((1, FIELDS[2]), (2, FIELDS[3])))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.StructArray.from_arrays(parts, fields=FIELDS)], names=["device_id", name]
+            )
+
+    schema = T.StructType([gathered.schema["device_id"]]).add(name, VectorUDT(), True, {"ml_attr": {"num_attrs": size}})
+    return gathered.mapInArrow(build, schema)
 
 
 def block_vectors(
@@ -36,10 +58,8 @@ def block_vectors(
     slot = F.struct(position.alias("at"), F.col(value).cast("double").alias("v"))
     known = F.when(position.isNotNull() & F.col(value).isNotNull(), slot)
     gathered = counts.groupBy("device_id").agg(F.sort_array(F.collect_list(known)).alias("_e"))
-    vector = _sparse(size)(F.col("_e.at"), F.col("_e.v"))
-    return gathered.select(
-        "device_id", vector.alias(name, metadata={"ml_attr": {"num_attrs": size}})
-    )
+    lists = gathered.select("device_id", F.col("_e.at").alias("at"), F.col("_e.v").alias("v"))
+    return _sparse(lists, size, name)
 
 
 def profile_vectors(
