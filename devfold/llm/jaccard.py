@@ -2,7 +2,9 @@
 
 Two sets that link differ in few elements, so of ``d + 1`` hash segments one is equal in
 both. Documents that share a segment's signature are joined into coarse components (a
-superset of the links, exact in that it loses none). The sets of a coarse component then
+superset of the links, exact in that it loses none). Shingles that a bounded sample shows to be
+common are left out of all signatures alike: that loses no link either, and keeps passages that
+many documents share from joining them. The sets of a coarse component then
 meet in blocks, where a prefix tree finds the links. Exact copies stand for one set. A
 component too large for one block is split by a hash; its parts are joined through
 representatives, and what stays apart is compared part against part.
@@ -21,14 +23,18 @@ from pyspark.sql import functions as F
 
 from devfold.llm import trie
 from devfold.llm import words as W
-from devfold.llm.common import id_and_text, small_batches, written
+from devfold.llm.common import id_and_text, release, small_batches, written
 from devfold.llm.components import components
 
 WIDTH, SHARE = 3, 90
-#: Bytes of sets that one block holds, and signatures that one bucket holds, about.
-BLOCK_BYTES, BUCKET_ROWS = 16 << 20, 1_000_000
+#: Bytes of sets that one block holds, and of text whose signatures one bucket holds, about.
+BLOCK_BYTES, BUCKET_BYTES = 8 << 20, 4 << 20
 #: Coarse members (16 bytes each) up to which their list is broadcast to the texts.
 BROADCAST_ROWS = 1_000_000
+#: Bytes of a signature that travel beside its bucket; equal by chance, they only widen a coarse component.
+KEY_BYTES = 5
+#: Documents sampled to find common shingles, and distinct sampled texts that make one common.
+SAMPLE, COMMON = 4000, 8
 
 
 def shingle_sets(texts: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
@@ -58,31 +64,52 @@ def size_class(sizes: np.ndarray, share: int) -> np.ndarray:
     return np.floor(np.log(np.maximum(sizes, 1)) / math.log(100 / share) + 1e-9).astype(np.int64)
 
 
-def segments(classes: np.ndarray, share: int) -> np.ndarray:
-    """One more than the elements in which two linked sets of at most this class can differ."""
+def segments(classes: np.ndarray, share: int) -> tuple[np.ndarray, np.ndarray]:
+    """Number of segments for sets of at most this class, and how many of them may be empty.
+
+    Linked sets differ in at most ``d`` elements, so ``d + 1 + spare`` segments leave more than
+    ``spare`` untouched. A set with no more than ``spare`` empty segments therefore shares a filled
+    one; ``spare`` is set so far above the expected number of empty segments that few exceed it.
+    """
     most = np.ceil((100 / share) ** (classes + 1.0)) + 1
-    return np.floor((100 - share) * 2 * most / (100 + share)).astype(np.int64) + 1
+    least = most * (share / 100) ** 2
+    apart = np.floor((100 - share) * 2 * most / (100 + share)) + 1
+    spare = np.zeros_like(apart)
+    for _ in range(4):
+        empty = (apart + spare) * np.exp(-least / (apart + spare))
+        spare = np.where(apart > 1, np.ceil(empty + 4 * np.sqrt(empty)), 0)
+    return (apart + spare).astype(np.int64), spare.astype(np.int64)
+
 
+def signatures(keys: np.ndarray, bounds: np.ndarray, share: int = SHARE, whole: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of all segments of each set, under its own size class and the next; and the set of each.
 
-def signatures(keys: np.ndarray, bounds: np.ndarray, share: int = SHARE) -> tuple[np.ndarray, np.ndarray]:
-    """Signatures of all segments of each set, under its own size class and the next; and the set of each."""
-    sizes = np.diff(bounds)
+    ``whole`` gives full sizes where elements that all sets agree to ignore are left out.
+    """
+    own_sizes = np.diff(bounds)
+    sizes = own_sizes if whole is None else whole
     out, owners = [], []
     filled = np.flatnonzero(sizes)
-    text = np.repeat(np.arange(len(sizes)), sizes)
+    text = np.repeat(np.arange(len(sizes)), own_sizes)
     spread = W.mix(keys)
     for step in (0, 1):
         classes = size_class(sizes, share) + step
-        count = np.where(sizes > 0, segments(classes, share), 0)
+        number_of, spare = segments(classes, share)
+        count = np.where(sizes > 0, number_of, 0)
         ends = np.cumsum(count)
         slot = (ends - count)[text] + (((keys >> np.uint64(32)) * count[text].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
         sums = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint64)
+        used = np.zeros(len(sums), bool)
         if len(slot):
             first = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))
             sums[slot[first]] = np.add.reduceat(spread, first)
+            used[slot[first]] = True
         owner = np.repeat(filled, count[filled])
         number = np.arange(len(owner)) - np.repeat((ends - count)[filled], count[filled])
-        out.append(W.mix(sums + W.mix((classes[owner] * 2**32 + number).astype(np.uint64))))
+        empty = count - np.bincount(owner, used, len(sizes)).astype(np.int64)
+        sent = used | (empty > spare)[owner]  # empty segments count only where a set has too many of them
+        owner, number = owner[sent], number[sent]
+        out.append(W.mix(sums[sent] + W.mix((classes[owner] * 2**32 + number).astype(np.uint64))))
         owners.append(owner)
     return np.concatenate(out), np.concatenate(owners)
 
@@ -104,18 +131,35 @@ def stars(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return np.unique(np.stack([hub[far], docs[far]], 1), axis=0), keys[first], docs[first]
 
 
+def common_shingles(docs: DataFrame, width: int) -> np.ndarray:
+    """Shingles of at least ``COMMON`` distinct texts among about ``SAMPLE`` documents, ascending."""
+    step = max(1, docs.count() // SAMPLE)
+    sample = docs.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(step)) == 0).select("text").distinct()
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(shingle_sets(batch.column(0), width)[0].view(np.int64))], names=["key"])
+
+    counts = sample.mapInArrow(spread, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    return np.sort(np.array([r["key"] for r in counts.where(F.col("n") >= COMMON).collect()], np.int64).view(np.uint64))
+
+
 def coarse(docs: DataFrame, width: int = WIDTH, share: int = SHARE) -> DataFrame:
     """Edges ``(src, dst)`` that connect all documents sharing a segment signature, directly or not."""
     small_batches(docs.sparkSession)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(12, int(size * 0.04) // BUCKET_ROWS)
+    buckets = max(12, size // BUCKET_BYTES)
+    ignored = common_shingles(docs, width)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, owner = signatures(*shingle_sets(batch.column(1), width), share)
+            keys, bounds = shingle_sets(batch.column(1), width)
+            counted = ~np.isin(keys, ignored)
+            kept = np.concatenate([[0], np.cumsum(counted)])[bounds]
+            keys, owner = signatures(keys[counted], kept, share, np.diff(bounds))
             edges, keys, hubs = stars(keys, batch.column(0).to_numpy()[owner])
             order, bounds = bucketed(keys, buckets)
-            keys, hubs = keys[order].view(np.int64), hubs[order]
+            keys, hubs = keys[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES], hubs[order]
             held = np.flatnonzero(np.diff(bounds))
             cells = [keys[bounds[b] : bounds[b + 1]].tobytes() + hubs[bounds[b] : bounds[b + 1]].tobytes() for b in held]
             if len(edges):
@@ -124,19 +168,23 @@ def coarse(docs: DataFrame, width: int = WIDTH, share: int = SHARE) -> DataFrame
             marks = np.zeros(len(held), bool)
             marks[len(held) - (len(edges) > 0) :] = True
             yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array(marks), pa.array(cells, pa.binary())], names=["bucket", "edges", "cell"])
+            release()
 
     def meet(table: pa.Table) -> pa.Table:
         edges, keys, hubs = [], [], []
         for done, cell in zip(table.column("edges").to_pylist(), table.column("cell").to_pylist(), strict=True):
-            a, b = np.frombuffer(cell, np.int64).reshape(2, -1)
             if done:
-                edges.append(np.stack([a, b], 1))
-            else:
-                keys.append(a)
-                hubs.append(b)
+                edges.append(np.frombuffer(cell, np.int64).reshape(2, -1).T)
+                continue
+            size = len(cell) // (KEY_BYTES + 8)
+            wide = np.zeros((size, 8), np.uint8)
+            wide[:, :KEY_BYTES] = np.frombuffer(cell, np.uint8, size * KEY_BYTES).reshape(size, KEY_BYTES)
+            keys.append(wide.view("<u8").ravel())
+            hubs.append(np.frombuffer(cell[size * KEY_BYTES :], np.int64))
         if keys:
             edges.append(stars(np.concatenate(keys), np.concatenate(hubs))[0])
         found = np.concatenate(edges).astype(np.int64)
+        release()
         return pa.table({"src": found[:, 0], "dst": found[:, 1]})
 
     cells = docs.where("doc_id IS NOT NULL").mapInArrow(sign, "bucket int, edges boolean, cell binary")
@@ -166,6 +214,8 @@ def grouped_links(rows: DataFrame, share: int) -> DataFrame:
             labels = [x["label"] for x in held]
             pairs = trie.links(sets, share, labels)
             ids = [x["doc_id"] for x in held]
+            if len(held) > 100:
+                release()
             return pa.RecordBatch.from_arrays([pa.array([ids[a] for a, _ in pairs], pa.int64()), pa.array([ids[b] for _, b in pairs], pa.int64())], names=["src", "dst"])
 
         for batch in batches:
@@ -182,51 +232,59 @@ def grouped_links(rows: DataFrame, share: int) -> DataFrame:
     return dealt.mapInArrow(join, "src long, dst long")
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """``df`` as a broadcast side where its rows are counted to be few, else as it is."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def _parted(rows: DataFrame, block_bytes: int) -> DataFrame:
     """Rows with the number of parts of their coarse component and the part each falls into."""
     sizes = rows.groupBy("coarse").agg(F.ceil(F.sum(F.octet_length("cell")) / block_bytes).cast("int").alias("parts"))
-    return rows.join(sizes, "coarse").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.greatest("parts", F.lit(1))).cast("int"))
+    parted = rows.join(_small(written(sizes.where("parts > 1"))), "coarse", "left")
+    return parted.withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
 
 
 def verified(docs: DataFrame, members: DataFrame, width: int, share: int, block_bytes: int) -> DataFrame:
     """True links ``(src, dst)`` that connect every component among ``members(doc_id, coarse)``."""
-    spark = docs.sparkSession
-    total = members.count()
-    small = F.broadcast(members) if total <= BROADCAST_ROWS else members
-    rows = docs.join(small, "doc_id").select("doc_id", "text", "coarse")
+    rows = docs.join(_small(members), "doc_id").select("doc_id", "text", "coarse")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, bounds = shingle_sets(batch.column(1), width)
             sums = [np.concatenate([[0], np.cumsum(x, dtype=np.uint64)]) for x in (W.mix(keys), W.mix(keys ^ np.uint64(0x5851F42D4C957F2D)))]
-            print_ = [(x[bounds[1:]] - x[bounds[:-1]]).view(np.int64) for x in sums]
-            yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(0), *map(pa.array, print_), W.ragged(keys, bounds)], names=["coarse", "doc_id", "f1", "f2", "cell"])
+            marks = [(x[bounds[1:]] - x[bounds[:-1]]).view(np.int64) for x in sums]
+            yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(0), *map(pa.array, marks), W.ragged(keys, bounds)], names=["coarse", "doc_id", "f1", "f2", "cell"])
+            release()
 
     schema = "coarse long, doc_id long, f1 long, f2 long, cell binary"
     sets = written(rows.mapInArrow(build, schema).where("octet_length(cell) > 0"))
-    distinct = sets.groupBy("coarse", "f1", "f2").agg(F.min(F.struct("doc_id", "cell")).alias("one"))
-    distinct = written(distinct.select("coarse", "f1", "f2", "one.doc_id", "one.cell"))
-    copies = sets.select("coarse", "f1", "f2", F.col("doc_id").alias("dst")).join(distinct.select("coarse", "f1", "f2", F.col("doc_id").alias("src")), ["coarse", "f1", "f2"]).where("src <> dst").select("src", "dst")
-    parted = written(_parted(distinct.select("coarse", "doc_id", "cell"), block_bytes).withColumn("label", F.col("doc_id")))
+    # the smallest document speaks for equal sets; cells move once, to their block
+    first = written(sets.groupBy("coarse", "f1", "f2").agg(F.min("doc_id").alias("src")))
+    copies = sets.select("coarse", "f1", "f2", F.col("doc_id").alias("dst")).join(first, ["coarse", "f1", "f2"]).where("src <> dst").select("src", "dst")
+    alone = first.groupBy("coarse").agg(F.count(F.lit(1)).alias("n")).where("n = 1").select("coarse")
+    heads = written(first.join(alone, "coarse", "left_anti").select("f1", "f2", F.col("src").alias("doc_id")))
+    distinct = sets.join(_small(heads), ["f1", "f2", "doc_id"]).select("coarse", "doc_id", "cell")
+    parted = _parted(distinct, block_bytes).withColumn("label", F.col("doc_id"))
     links = written(grouped_links(parted, share))
     large = parted.where("parts > 1").drop("parts", "part", "label")
     if large.isEmpty():
         return copies.unionByName(links)
     # representatives of what each part has joined meet in further rounds, as long as that shrinks
-    apart = large
+    ids = written(large.select("coarse", "doc_id"))
     while True:
         found = components(links)
-        labelled = large.join(found, large.doc_id == found.node, "left").select("coarse", "doc_id", "cell", F.coalesce("component", "doc_id").alias("label"))
-        apart = labelled.groupBy("coarse", "label").agg(F.min(F.struct("doc_id", "cell")).alias("one")).select("coarse", "label", "one.doc_id", "one.cell")
-        before = written(_parted(apart, block_bytes))
-        more = written(grouped_links(before, share))
+        labels = written(ids.join(found, ids.doc_id == found.node, "left").select("coarse", "doc_id", F.coalesce("component", "doc_id").alias("label")))
+        speak = labels.groupBy("coarse", "label").agg(F.min("doc_id").alias("doc_id"))
+        apart = large.join(_small(written(speak)), ["coarse", "doc_id"])
+        more = written(grouped_links(_parted(apart, block_bytes), share))
         if more.isEmpty():
             break
         links = written(links.unionByName(more))
     # what is still apart in a split component: every part against every part, nothing left out
-    left = labelled.join(labelled.groupBy("coarse").agg(F.count_distinct("label").alias("n")).where("n > 1"), "coarse")
-    left = written(_parted(left.drop("n"), block_bytes))
-    if not left.isEmpty():
+    unsettled = labels.groupBy("coarse").agg(F.count_distinct("label").alias("n")).where("n > 1").select("coarse")
+    waiting = written(labels.join(unsettled, "coarse"))
+    left = _parted(large.join(_small(waiting), ["coarse", "doc_id"]), block_bytes).where("parts > 1")
+    if not waiting.isEmpty():
         other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
         grid = left.withColumn("other", other).withColumn("part", F.least("part", "other") * 65536 + F.greatest("part", "other"))
         links = links.unionByName(grouped_links(grid, share))
@@ -260,10 +318,7 @@ def one_of_each(docs: DataFrame, width: int = WIDTH, share: int = SHARE, block_b
     Of rows that repeat an id one stays, that with the smallest text. Rows with a null id stay.
     """
     found = near_components(id_and_text(docs), width, share, block_bytes).where("node <> component").select(F.col("node").alias("_gone"))
-    gone = written(found)
-    if gone.count() <= BROADCAST_ROWS:
-        gone = F.broadcast(gone)
-    left = docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    left = docs.join(_small(written(found)), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
     if docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").isEmpty():
         return left
     order = Window.partitionBy("doc_id").orderBy("text", F.xxhash64(*docs.columns))

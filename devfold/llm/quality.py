@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from devfold.llm import encode
 from devfold.llm import words as W
-from devfold.llm.common import small_batches
+from devfold.llm.common import release, small_batches
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
@@ -213,6 +213,7 @@ def judged(docs: DataFrame, bands: dict[str, Band] | None = None, widest: Band =
             columns = {"doc_id": batch.column(0)} | {k: pa.array(v) for k, v in values.items()} | {"base_failed": pa.array(failed), "kept": pa.array(kept)}
             names = [x.split()[0] for x in OUT.split(", ")]
             yield pa.RecordBatch.from_arrays([columns[n] for n in names], names=names)
+            release()
 
     return rows.mapInArrow(judge, OUT)
 
@@ -225,5 +226,6 @@ def kept(docs: DataFrame, bands: dict[str, Band] | None = None, widest: Band = W
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array(_judge(batch, files, own, widest)[2]))
+            release()
 
     return docs.mapInArrow(keep, docs.schema)
