@@ -6,7 +6,8 @@ share of the entity's information that the term discloses (1 when the term occur
 beside it). Terms above ``REMOVE`` are removed, those above ``GENERALISE`` replaced by a
 class of terms. Evidence must come from ``SUPPORT`` different contexts, so copies of one text
 count once. Only words near an entity leave the first pass; corpus counts of terms are
-combined per batch before they are shuffled.
+combined per batch before they are shuffled. A term found so is marked wherever it occurs: a second
+pass sends the words whose hash is set in a bitmap of the terms, and a join keeps the terms among them.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ KINDS = ("email", "ip", "card", "phone", "term")
 REACH, SUPPORT, GENERALISE, REMOVE = 5, 3, 0.90, 0.97
 #: Distinct words counted in one bucket, about.
 BUCKET_ROWS = 1_000_000
+#: Bits of a term's hash that index the bitmap, at least and at most (32 MB); one row holds ``2**LEAST_BITS`` of them.
+LEAST_BITS, MOST_BITS = 16, 28
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+$")
@@ -201,11 +204,71 @@ def disclosures(found: DataFrame, docs: DataFrame, support: int = SUPPORT, least
     return known.select("entity", "term", share.alias("disclosure")).where(F.col("disclosure") >= least)
 
 
-def find_personal(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
+def bitmap(terms: DataFrame, bits: int) -> np.ndarray:
+    """One bit for each value of the first ``bits`` bits of a key, set where a term has it."""
+
+    def fill(key: tuple, table: pa.Table) -> pa.Table:
+        cell = np.zeros(1 << LEAST_BITS, bool)
+        cell[table.column("slot").to_numpy()] = True
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([np.packbits(cell).tobytes()], pa.binary())})
+
+    slot = F.shiftrightunsigned("term", 64 - bits)
+    slots = terms.select(F.shiftright(slot, LEAST_BITS).alias("part"), slot.bitwiseAND(F.lit((1 << LEAST_BITS) - 1)).alias("slot")).distinct()
+    out = np.zeros(1 << (bits - 3), np.uint8)
+    for part, raw in slots.groupBy("part").applyInArrow(fill, "part long, bits binary").collect():
+        at = part << (LEAST_BITS - 3)
+        out[at : at + (1 << (LEAST_BITS - 3))] = np.frombuffer(raw, np.uint8)
+    return out
+
+
+def occurrences(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """``(doc_id, row_key, term, start, end, shape)`` of every word that may be a term and that no entity touches.
+
+    All occurrences of ``terms`` are among them, and a few other words whose hash begins alike.
+    """
+    bits = min(MOST_BITS, max(LEAST_BITS, terms.count().bit_length() + 6))
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(terms, bits))
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = shared.value
+        for batch in batches:
+            words = W.split(batch.column(1), lower=True)
+            keys = W.word_hashes(words)
+            slot = (keys >> np.uint64(64 - bits)).astype(np.int64)
+            hit = np.flatnonzero(held[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1)
+            if not len(hit):
+                continue
+            # code points before each byte
+            points = np.concatenate([[0], np.cumsum((words.data & 0xC0) != 0x80, dtype=np.int32)])
+            rows = np.searchsorted(words.first, hit, "right") - 1
+            origin = points[words.offsets[rows]]
+            start, end = points[words.start[hit]] - origin, points[words.end[hit]] - origin
+            out: list[list] = [[] for _ in range(6)]
+            for row, at in zip(*np.unique(rows, return_index=True), strict=True):
+                last = int(np.searchsorted(rows, row, "right"))
+                doc_id, text = batch.column(0)[row].as_py(), batch.column(1)[row].as_py()
+                own, spans = key_of(text), entities(text)
+                ends = np.maximum.accumulate([e for _, _, e in spans]) if spans else np.zeros(0)
+                # the entities that begin before a word ends; the furthest of them must end before the word begins
+                before = np.searchsorted([s for s, _, _ in spans], end[at:last]) - 1
+                for i, j in enumerate(before.tolist(), int(at)):
+                    a, b = int(start[i]), int(end[i])
+                    if j < 0 or ends[j] <= a:
+                        for column, value in zip(out, (doc_id, own, int(keys[hit[i]].view(np.int64)), a, b, _shape(text[a:b])), strict=True):
+                            column.append(value)
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds, strict=True)], names=["doc_id", "row_key", "term", "start", "end", "shape"])
+
+    return docs.mapInArrow(find, "doc_id long, row_key long, term long, start int, end int, shape string")
+
+
+def find_personal(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, least: float = GENERALISE, everywhere: bool = False) -> DataFrame:
     """Finds of every row: counts per kind, base digest, all spans, and terms to generalise or remove.
 
     ``spans`` holds the pattern finds and the revealing terms as ``kind:start:end`` in code
     points, by start, then kind; ``terms`` repeats the latter with disclosure and class.
+    With ``everywhere`` each occurrence of a revealing term is marked, with its highest disclosure; without,
+    those beside the entity that it reveals.
     A null or empty text has none. Rows are judged one by one; rows alike in id and text get
     the same answer. Empty tables give no row; only ``doc_id`` and ``text`` are read.
     """
@@ -214,7 +277,11 @@ def find_personal(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, l
     found = written(scan(rows, reach))
     risky = disclosures(found, rows, support, least)
     near = found.where(F.size("near") > 0).select("doc_id", "row_key", F.explode("near").alias("x")).select("doc_id", "row_key", "x.entity", "x.term", "x.start", "x.end", "x.shape")
-    hits = near.join(risky, ["entity", "term"]).groupBy("doc_id", "row_key", "start", "end", "shape").agg(F.max("disclosure").alias("disclosure"))
+    if everywhere:
+        risky = written(risky.groupBy("term").agg(F.max("disclosure").alias("disclosure")))
+        # words cut by an entity are beside it only
+        near = near.drop("entity").unionByName(occurrences(rows, risky))
+    hits = near.join(risky, ["term"] if everywhere else ["entity", "term"]).groupBy("doc_id", "row_key", "start", "end", "shape").agg(F.max("disclosure").alias("disclosure"))
     terms = hits.groupBy(F.col("doc_id").alias("_id"), F.col("row_key").alias("_key")).agg(F.sort_array(F.collect_list(F.struct("start", "end", "disclosure", "shape"))).alias("terms"))
     joined = found.drop("near", "n_words").join(terms, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row_key") == F.col("_key")), "left").drop("_id", "_key")
     # base spans come by start and kind; a term is the last kind and never shares a start with them
@@ -233,7 +300,7 @@ def sanitised(docs: DataFrame, remove: float = REMOVE, **options: object) -> Dat
     names = docs.columns
     at = names.index("text")
     keyed = docs.withColumns({"_row_key": _row_key(F.col("text"))})
-    finds = find_personal(docs, **options).where("spans <> ''").select(F.col("doc_id").alias("_id"), F.col("row_key").alias("_key"), F.col("spans").alias("_spans"), F.col("terms").alias("_terms")).dropDuplicates(["_id", "_key"])
+    finds = find_personal(docs, everywhere=True, **options).where("spans <> ''").select(F.col("doc_id").alias("_id"), F.col("row_key").alias("_key"), F.col("spans").alias("_spans"), F.col("terms").alias("_terms")).dropDuplicates(["_id", "_key"])
     joined = keyed.join(finds, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_row_key") == F.col("_key")), "left").select(*names, "_spans", "_terms")
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

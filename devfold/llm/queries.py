@@ -44,7 +44,7 @@ def op6_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data and revealing terms of every document."""
-    return privacy.find_personal(read(spark, sf_dir, "documents")).drop("row_key", "terms")
+    return privacy.find_personal(read(spark, sf_dir, "documents"), everywhere=True).drop("row_key", "terms")
 
 
 def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -94,3 +94,28 @@ def test_messy_and_empty(messy, empty):
 def test_replaced():
     assert privacy.replaced("abcdefgh", "ip:0:4,card:3:6,term:7:8", {7: (0.9, "<WORD>")}, 0.95) == "<IP>g<WORD>"
     assert privacy.replaced("abcdefgh", "term:7:8", {7: (0.99, "<WORD>")}, 0.95) == "abcdefg"
+
+
+def test_terms_are_marked_everywhere(spark):
+    far = " ".join(f"far{i}" for i in range(20))
+    rows = corpus(spark)
+    rows += [(5000 + i, f"memo{i} from the Zorblat office common{i} mail ann@example.com today words{i}", "en", "s", 1) for i in range(90)]
+    rows += [(4000, f"é 漢 ann@example.com {far} ZORBLAT zorblat@example.org x", "en", "s", 1), (None, "see Zorblat\nZorblat", "en", "s", 1), (None, "see Zorblat\nZorblat", "en", "s", 1)]
+    docs = table(spark, rows)
+    got = {}
+    for r in privacy.find_personal(docs, everywhere=True).collect():
+        got.setdefault(r["doc_id"], []).append(r["spans"])
+    text = rows[-3][1]
+    at = text.index("ZORBLAT")
+    assert got[3000] == ["term:0:7"] and got[None] == ["term:4:11,term:12:19"] * 2
+    assert [x for x in got[4000][0].split(",") if x.startswith("term")] == [f"term:{at}:{at + 7}"]
+    out = [r["text"] for r in privacy.sanitised(docs).collect()]
+    assert len(out) == len(rows) and not any("zorblat" in (t or "").lower() for t in out)
+    assert sum("<EMAIL> x" in t for t in out) == 1
+
+
+def test_registered_query_marks_everywhere(spark, tmp_path):
+    from devfold.llm.queries import op7_disclosure
+
+    table(spark, corpus(spark), extra=False).write.parquet(str(tmp_path / "documents.parquet"))
+    assert {r["doc_id"]: r["spans"] for r in op7_disclosure(spark, str(tmp_path)).collect()}[3000] == "term:0:7"
