@@ -5,7 +5,8 @@ reveals one: with probabilities per word of the corpus, ``PMI(term, entity) / IC
 share of the entity's information that the term discloses (1 when the term occurs only
 beside it). Terms above ``REMOVE`` are removed, those above ``GENERALISE`` replaced by a
 class of terms. Evidence must come from ``SUPPORT`` different contexts, so copies of one text
-count once. Only words near an entity leave the first pass; corpus counts of terms are
+count once. Evidence is pooled: a word counts for the value beside it (as digits for numbers), for its kind, and for the
+domain of a mail address, so values that occur once add up. Only words near an entity leave the first pass; corpus counts of terms are
 combined per batch before they are shuffled. A term found so is marked wherever it occurs: a second
 pass sends the words whose hash is set in a bitmap of the terms, and a join keeps the terms among them.
 """
@@ -85,17 +86,32 @@ def key_of(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little", signed=True)
 
 
-def nearby(text: str, spans: list[tuple[int, int, int]], reach: int) -> list[tuple[int, str, int, int, int]]:
-    """For each entity, its key, and term, context key, start and end of each word within reach that no entity touches."""
-    out = []
+def pools(kind: int, value: str) -> tuple[int, int, int | None]:
+    """Keys of what a find is evidence for: its value in one spelling, its kind and, for mail, its domain."""
+    name, value = KINDS[kind], value.lower()
+    if name == "ip":
+        value = ".".join(p.lstrip("0") or "0" for p in value.split("."))
+    elif name in ("card", "phone"):
+        value = "".join(c for c in value if c.isdigit())
+    return key_of(f"{name}:{value}"), key_of(f"kind:{name}"), key_of(f"domain:{value.rpartition('@')[2]}") if name == "email" else None
+
+
+def nearby(text: str, spans: list[tuple[int, int, int]], reach: int) -> list[tuple[tuple[int, int, int | None], str, int, int, int, int]]:
+    """For each entity, its pools, and term, context key, start and end of each word within reach that no entity touches.
+
+    Last come bits of the pools for which the word counts here for the first time: it may stand beside two entities of one pool.
+    """
+    out, seen = [], set()
     for start, kind, end in spans:
-        entity = key_of(f"{KINDS[kind]}:{text[start:end].lower()}")
+        keys = pools(kind, text[start:end])
         left = _words_before(text, start, reach)
         right = _words_after(text, end, reach)
         context = key_of("\x00".join(text[a:b] for a, b in left) + "\x01" + "\x00".join(text[a:b] for a, b in right))
         for a, b in left + right:
             if not any(s < b and a < e for s, _, e in spans):
-                out.append((entity, text[a:b], context, a, b))
+                first = sum(1 << i for i, key in enumerate(keys) if (key, a) not in seen)
+                seen.update((key, a) for key in keys)
+                out.append((keys, text[a:b], context, a, b, first))
     return out
 
 
@@ -122,7 +138,7 @@ def _words_after(text: str, end: int, reach: int) -> list[tuple[int, int]]:
 
 FOUND = (
     "doc_id long, row_key long, n_words long, n_email long, n_ip long, n_card long, n_phone long, base string, "
-    "near array<struct<entity: long, term: long, context: long, start: int, end: int, shape: string>>"
+    "near array<struct<entity: long, kind: long, domain: long, term: long, context: long, start: int, end: int, shape: string, first: int>>"
 )
 
 
@@ -130,7 +146,7 @@ def scan(docs: DataFrame, reach: int = REACH) -> DataFrame:
     """Pattern finds of every row, and the words around them."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("context", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("shape", pa.string())]))
+        kind = pa.list_(pa.struct([("entity", pa.int64()), ("kind", pa.int64()), ("domain", pa.int64()), ("term", pa.int64()), ("context", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("shape", pa.string()), ("first", pa.int32())]))
         for batch in batches:
             out: list[list] = [[] for _ in range(7)]
             counts = W.split(batch.column(1)).counts
@@ -139,7 +155,7 @@ def scan(docs: DataFrame, reach: int = REACH) -> DataFrame:
                 number = [sum(k == i for _, k, _ in spans) for i in range(4)]
                 words = nearby(text, spans, reach) if spans else []
                 terms = _term_keys([w[1] for w in words])
-                near = [{"entity": e, "term": t, "context": c, "start": a, "end": b, "shape": _shape(w)} for (e, w, c, a, b), t in zip(words, terms, strict=True)]
+                near = [{"entity": e[0], "kind": e[1], "domain": e[2], "term": t, "context": c, "start": a, "end": b, "shape": _shape(w), "first": f} for (e, w, c, a, b, f), t in zip(words, terms, strict=True)]
                 for column, value in zip(out, (key_of(text or ""), *number, spelled(spans), near), strict=True):
                     column.append(value)
             kinds = (pa.int64(),) * 5 + (pa.string(), kind)
@@ -188,14 +204,21 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return cells.groupBy("bucket").applyInArrow(add, "term long, n long")
 
 
+def _pooled(found: DataFrame, *columns: str) -> DataFrame:
+    """One row for each word near an entity and each pool of that entity, whose key is ``entity``; ``n`` is 1 at its first time there."""
+    near = found.where(F.size("near") > 0).select("doc_id", "row_key", F.explode("near").alias("x"))
+    keys = [F.struct(F.col(f"x.{name}").alias("entity"), F.shiftright("x.first", i).bitwiseAND(F.lit(1)).cast("long").alias("n")) for i, name in enumerate(("entity", "kind", "domain"))]
+    each = near.select("doc_id", "row_key", "x", F.explode(F.array(*keys)).alias("p")).where("p.entity IS NOT NULL")
+    return each.select("doc_id", "row_key", "p.entity", "p.n", *[f"x.{c}" for c in columns])
+
+
 def disclosures(found: DataFrame, docs: DataFrame, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
-    """``(entity, term, disclosure)`` of the terms that reveal an entity to at least ``least``."""
+    """``(entity, term, disclosure)`` of the terms that reveal an entity, or a pool of them, to at least ``least``."""
     total = found.agg(F.sum("n_words")).first()[0] or 0
-    near = found.select(F.explode("near").alias("x")).select("x.entity", "x.term", "x.context", "x.start", "x.end")
-    each = near.groupBy("entity", "term", "context").agg(F.count(F.lit(1)).alias("n"))
+    each = _pooled(found, "term", "context").groupBy("entity", "term", "context").agg(F.sum("n").alias("n"))
     joint = each.groupBy("entity", "term").agg(F.sum("n").alias("both"), F.count(F.lit(1)).alias("contexts")).where(F.col("contexts") >= support)
     # occurrences of an entity: its contexts once per row and place
-    places = found.select("doc_id", "row_key", F.explode("near").alias("x")).select("doc_id", "row_key", "x.entity", "x.context")
+    places = _pooled(found, "context")
     own = places.groupBy("entity", "doc_id", "row_key", "context").agg(F.lit(1).alias("one")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
     known = joint.join(own, "entity").join(word_counts(docs), "term")
     information = F.log2(F.lit(float(max(total, 2))) / F.col("n_entity"))
@@ -276,11 +299,11 @@ def find_personal(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, l
     rows = id_and_text(docs)
     found = written(scan(rows, reach))
     risky = disclosures(found, rows, support, least)
-    near = found.where(F.size("near") > 0).select("doc_id", "row_key", F.explode("near").alias("x")).select("doc_id", "row_key", "x.entity", "x.term", "x.start", "x.end", "x.shape")
+    near = _pooled(found, "term", "start", "end", "shape").drop("n")
     if everywhere:
         risky = written(risky.groupBy("term").agg(F.max("disclosure").alias("disclosure")))
         # words cut by an entity are beside it only
-        near = near.drop("entity").unionByName(occurrences(rows, risky))
+        near = found.select("doc_id", "row_key", F.explode("near").alias("x")).select("doc_id", "row_key", "x.term", "x.start", "x.end", "x.shape").unionByName(occurrences(rows, risky))
     hits = near.join(risky, ["term"] if everywhere else ["entity", "term"]).groupBy("doc_id", "row_key", "start", "end", "shape").agg(F.max("disclosure").alias("disclosure"))
     terms = hits.groupBy(F.col("doc_id").alias("_id"), F.col("row_key").alias("_key")).agg(F.sort_array(F.collect_list(F.struct("start", "end", "disclosure", "shape"))).alias("terms"))
     joined = found.drop("near", "n_words").join(terms, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row_key") == F.col("_key")), "left").drop("_id", "_key")

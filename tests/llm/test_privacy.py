@@ -119,3 +119,24 @@ def test_registered_query_marks_everywhere(spark, tmp_path):
 
     table(spark, corpus(spark), extra=False).write.parquet(str(tmp_path / "documents.parquet"))
     assert {r["doc_id"]: r["spans"] for r in op7_disclosure(spark, str(tmp_path)).collect()}[3000] == "term:0:7"
+
+
+def test_evidence_is_pooled(spark):
+    rows = corpus(spark)
+    rows += [(6000 + i, f"word{i} Quuxcorp staff{i} p{i}@quux.example.net line{i}", "en", "s", 1) for i in range(4)]
+    rows += [(6100 + i, f"pay{i} Cardnum {number} line{i}", "en", "s", 1) for i, number in enumerate(("4111 1111 1111 1111", "5500-0000-0000-0004", "340000000000009"))]
+    rows += [(6200 + i, f"pay{i} Spelled {number} end{i}", "en", "s", 1) for i, number in enumerate(("+1 555 010 9999", "+1 (555) 010-9999", "+15550109999"))]
+    rows += [(6300 + i, f"copied Onetext {i // 20} beside r@quux.example.net", "en", "s", 1) for i in range(40)]
+    rows += [(6400, "Quuxcorp Cardnum Spelled Onetext", "en", "s", 1)]
+    got = {r["doc_id"]: r["spans"] for r in privacy.find_personal(table(spark, rows)).collect()}
+    for key, term in [(6000, "Quuxcorp"), (6100, "Cardnum"), (6200, "Spelled")]:
+        text = next(r[1] for r in rows if r[0] == key)
+        assert f"term:{text.index(term)}:{text.index(term) + len(term)}" in got[key].split(",")
+    assert all("term:7:14" not in got[6300 + i] for i in range(40))
+
+
+def test_a_word_between_two_entities_counts_once():
+    text = "a@x.example between b@x.example"
+    near = privacy.nearby(text, privacy.entities(text), 5)
+    assert [w[5] for w in near if w[1] == "between"] == [0b111, 0b001]
+    assert privacy.pools(3, "+1 (555) 010-9999") == privacy.pools(3, "+15550109999") and privacy.pools(1, "10.0.0.01")[0] == privacy.pools(1, "10.0.0.1")[0]
