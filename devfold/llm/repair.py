@@ -2,7 +2,8 @@
 
 Documents lie in ascending id order in shards. In a shard, frequent pairs of neighbouring
 symbols become nonterminals, round by round: a round counts all pairs, takes the most
-frequent ones as new rules and replaces where they do not overlap. Each rule keeps how many
+frequent ones as new rules and replaces where they do not overlap, until no pair has the least
+number of uses. Each rule keeps how many
 ids it expands to, so a reader finds the symbols of any id range by a running sum and
 expands those alone.
 
@@ -30,9 +31,9 @@ from devfold.session import scratch_path
 END_ID = 2
 #: Text of one shard.
 SHARD_BYTES = 4 << 20
-#: New rules a round, rounds at most, and uses under which a pair gets no rule.
-ROUND_RULES, ROUNDS, LEAST_USES = 4096, 6, 6
-#: Rounds end when one shortens the sequence by less than this share.
+#: New rules a round, and uses under which a pair gets no rule.
+ROUND_RULES, LEAST_USES = 4096, 6
+#: Pairs are counted exactly, not in hash cells, once a round shortens the sequence by less than this share.
 LEAST_GAIN = 0.02
 #: Pairs are counted in hash cells, at most this power of two.
 MOST_CELLS = 22
@@ -114,35 +115,85 @@ class Shard:
         return out[skipped : skipped + stop - start]
 
 
+def _cells(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hash cell of each pair, and how many each cell has."""
+    power = min(MOST_CELLS, max(12, (len(left) + 1).bit_length()))
+    cell = (left * np.uint32(0x9E3779B1) ^ right * np.uint32(0x85EBCA77)) >> np.uint32(32 - power)
+    return cell, np.bincount(cell, minlength=1 << power)
+
+
+def _by_cell(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The most frequent pairs by counts of hash cells, the places where they stand, and which pair stands there."""
+    cell, counts = _cells(left, right)
+    top = _most(counts)
+    rank = np.full(len(counts), len(top), np.uint16)
+    rank[top] = np.arange(len(top))
+    owner = rank[cell]
+    hit = np.flatnonzero(owner < len(top))
+    owner = owner[hit]
+    pair = np.zeros((len(top), 2), np.uint32)  # one pair speaks for each cell: its first
+    pair[owner[::-1], 0], pair[owner[::-1], 1] = left[hit[::-1]], right[hit[::-1]]
+    same = (left[hit] == pair[owner, 0]) & (right[hit] == pair[owner, 1])
+    hit, owner = hit[same], owner[same]
+    # without the others of its cell, a pair may have too few uses
+    enough = np.bincount(owner, minlength=len(top)) >= LEAST_USES
+    number = np.cumsum(enough) - 1
+    held = enough[owner]
+    return pair[enough], hit[held], number[owner[held]]
+
+
+def _by_pair(left: np.ndarray, right: np.ndarray, places: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """As :func:`_by_cell`, by the pairs themselves; last, all places of pairs with enough uses.
+
+    ``places`` holds those where such a pair can stand; without it, pairs in cells of fewer uses need no sorting.
+    """
+    if places is None:
+        cell, counts = _cells(left, right)
+        places = np.flatnonzero((counts >= LEAST_USES)[cell])
+    if not len(places):
+        return np.zeros((0, 2), np.uint32), places, places, places
+    keys = left[places].astype(np.uint64) << np.uint64(32) | right[places]
+    order = np.argsort(keys, kind="stable")
+    keys, order = keys[order], places[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    count = np.diff(np.append(first, len(keys)))
+    top = _most(count)
+    hit = order[W.runs(first[top], count[top])]
+    owner = np.repeat(np.arange(len(top)), count[top])
+    place = np.argsort(hit, kind="stable")
+    key = keys[first[top]]
+    live = order[np.repeat(count >= LEAST_USES, count)]
+    return np.stack([key >> np.uint64(32), key & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32), hit[place], owner[place], live
+
+
+def _most(counts: np.ndarray) -> np.ndarray:
+    """Where the ``ROUND_RULES`` highest counts of at least ``LEAST_USES`` are, highest first."""
+    top = np.flatnonzero(counts >= LEAST_USES)
+    if len(top) > ROUND_RULES:
+        top = top[np.argpartition(counts[top], -ROUND_RULES)[-ROUND_RULES:]]
+    return top[np.lexsort((top, -counts[top]))]
+
+
 def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rules, their expansion lengths and the shortened sequence. Lossless for any input."""
+    """Rules, their expansion lengths and the shortened sequence, in which no pair has ``LEAST_USES``. Lossless for any input."""
     seq = ids.astype(np.uint32)
-    power = min(MOST_CELLS, max(12, len(seq).bit_length()))
     rules, sizes = [np.zeros((0, 2), np.uint32)], np.zeros(0, np.int64)
-    for _ in range(ROUNDS):
+    exact, live = False, None
+    while len(seq) > 1:
         before = len(seq)
-        if before < 2:
-            break
         left, right = seq[:-1], seq[1:]
-        cell = (left * np.uint32(0x9E3779B1) ^ right * np.uint32(0x85EBCA77)) >> np.uint32(32 - power)
-        counts = np.bincount(cell, minlength=1 << power)
-        top = np.flatnonzero(counts >= LEAST_USES)
-        if len(top) > ROUND_RULES:
-            top = top[np.argpartition(counts[top], -ROUND_RULES)[-ROUND_RULES:]]
-        if not len(top):
-            break
-        top = top[np.lexsort((top, -counts[top]))]
-        rank = np.full(1 << power, len(top), np.uint16)
-        rank[top] = np.arange(len(top))
-        order = rank[cell]
-        hit = np.flatnonzero(order < len(top))
-        pair = np.zeros((len(top), 2), np.uint32)  # one pair speaks for each cell: its first
-        pair[order[hit[::-1]], 0], pair[order[hit[::-1]], 1] = left[hit[::-1]], right[hit[::-1]]
-        owner = order[hit]
-        other = (left[hit] != pair[owner, 0]) | (right[hit] != pair[owner, 1])
-        order[hit[other]] = len(top)
-        hit = hit[~other]
-        padded = np.concatenate([[len(top)], order, [len(top)]]).astype(np.uint16)
+        if exact:
+            pair, hit, owner, live = _by_pair(left, right, live)
+        else:
+            pair, hit, owner = _by_cell(left, right)
+        if not len(pair):
+            if exact:
+                break
+            exact = True
+            continue
+        order = np.full(before - 1, len(pair), np.uint16)
+        order[hit] = owner
+        padded = np.concatenate([[len(pair)], order, [len(pair)]]).astype(np.uint16)
         here = padded[hit + 1]
         # a pair goes where it beats its neighbours; in a run of one symbol, every second pair
         opens = np.ones(len(hit), bool)
@@ -150,17 +201,23 @@ def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.nda
         start = np.maximum.accumulate(np.where(opens, np.arange(len(hit)), 0))
         wins = (here < padded[hit])[start] & ((np.arange(len(hit)) - start) % 2 == 0)
         chosen = hit[wins & (here <= padded[hit + 2])]
-        new = np.uint32(base + len(sizes)) + order[chosen].astype(np.uint32)
+        used = np.bincount(order[chosen], minlength=len(pair)) > 0
+        pair, number = pair[used], np.cumsum(used) - 1
+        new = (base + len(sizes) + number[order[chosen]]).astype(np.uint32)
         kept = np.ones(before, bool)
         kept[chosen + 1] = False
         seq[chosen] = new
         seq = seq[kept]
+        if exact:  # old pairs only get rarer, and each new one has a new symbol
+            at = np.cumsum(kept, dtype=np.int32) - 1
+            fresh = at[chosen]
+            live = np.unique(np.concatenate([at[live[kept[live]]], fresh - 1, fresh]))
+            live = live[(live >= 0) & (live < len(seq) - 1)]
         known = np.concatenate([sizes, np.zeros(0, np.int64)])
         width = [np.where(pair[:, i] < base, 1, known[np.maximum(pair[:, i].astype(np.int64) - base, 0)] if len(known) else 1) for i in (0, 1)]
         rules.append(pair)
         sizes = np.concatenate([sizes, width[0] + width[1]])
-        if before - len(seq) < LEAST_GAIN * before:
-            break
+        exact = exact or before - len(seq) < LEAST_GAIN * before
     return np.concatenate(rules), sizes, seq
 
 

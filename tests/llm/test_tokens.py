@@ -113,3 +113,17 @@ def test_patterns_use_every_piece_once(histogram):
 def test_empty_tables(empty, tmp_path):
     assert repair.token_files(empty, str(tmp_path / "f")).collect() == []
     assert pack.pack(empty).collect() == []
+
+
+def test_rules_go_on_while_a_pair_repeats():
+    rng = np.random.default_rng(3)
+    passage = rng.integers(0, 30_000, 5000)
+    ids = np.concatenate([np.concatenate([passage, rng.integers(0, 30_000, 50)]) for _ in range(8)]).astype(np.uint32)
+    rules, sizes, seq = repair.compress(ids, 30_000)
+    assert sizes.max() > 256 and len(seq) < 1000
+    for some in (ids, rng.integers(0, 40, 30_000).astype(np.uint32), np.zeros(5000, np.uint32)):
+        rules, sizes, seq = repair.compress(some, 30_000)
+        _, uses = np.unique(np.stack([seq[:-1], seq[1:]], 1), axis=0, return_counts=True)
+        assert uses.max(initial=0) < repair.LEAST_USES
+        shard = repair.Shard(np.zeros(1), np.zeros(1), np.array([len(some)]), 30_000, rules, sizes, seq)
+        assert (repair.Shard.unpack(shard.pack()).decode() == some).all()
