@@ -65,3 +65,19 @@ reach(x, y) AS (SELECT x, y FROM edge UNION SELECT reach.x, edge.y FROM reach JO
 SELECT documents.doc_id, coalesce(any_value(size.n), 0) AS n_shingles, least(documents.doc_id, coalesce(min(reach.y), documents.doc_id)) AS component_id
 FROM documents LEFT JOIN size ON size.doc_id = documents.doc_id LEFT JOIN reach ON reach.x = documents.doc_id GROUP BY documents.doc_id
 """
+
+#: A term: digits, letters and everything beyond ASCII, with A-Z lower-cased.
+_TERMS = rf"regexp_extract_all({_lower("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+RANKED = f"""
+WITH d AS MATERIALIZED (SELECT doc_id, unnest({_TERMS}) AS t FROM documents),
+q AS (SELECT item_id, t, count(*) AS c FROM (SELECT item_id, unnest({_TERMS}) AS t FROM benchmark) GROUP BY ALL),
+size AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+total AS (SELECT count(*) AS docs, sum(n) AS l FROM size),
+f AS (SELECT doc_id, t, count(*) AS tf FROM d SEMI JOIN q ON d.t = q.t GROUP BY ALL),
+w AS (SELECT t, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM f, total GROUP BY t),
+part AS (SELECT doc_id, t, w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // l))) AS p
+    FROM f JOIN size USING (doc_id) JOIN w USING (t), total),
+score AS (SELECT item_id, doc_id, CAST(sum(c * p) AS BIGINT) AS score FROM q JOIN part USING (t) GROUP BY ALL HAVING sum(c * p) > 0),
+place AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM score)
+SELECT item_id, rank, doc_id, score FROM place WHERE rank <= 10
+"""

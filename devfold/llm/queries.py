@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from devfold.llm import decontaminate, extract, jaccard, logbloom, oracles, pack, privacy, quality, repair, substrings, urls
+from devfold.llm import decontaminate, extract, jaccard, logbloom, oracles, pack, periodic, privacy, quality, ranked, repair, substrings, toxicity, urls
 from devfold.llm.common import read
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -62,13 +62,32 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(read(spark, sf_dir, "documents"))
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, some of which end in a repeated stretch."""
+    return periodic.digests(periodic.periodic_runs(periodic.with_periodic_tails(read(spark, sf_dir, "documents"))))
+
+
+def op12_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return ranked.ranked(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    return toxicity.scored(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_repair, op2_substrings, op3_fertility, op4_containment, op5_logbloom, op6_blocks, op7_disclosure, op8_pack, op9_urls, op10_jaccard)
+    for f in (
+        op1_repair, op2_substrings, op3_fertility, op4_containment, op5_logbloom, op6_blocks, op7_disclosure,
+        op8_pack, op9_urls, op10_jaccard, op11_runs, op12_masks, op13_toxicity,
+    )
 }
 ORACLES: dict[str, str] = {
     "op2_substrings": oracles.REMOVALS,
     "op4_containment": oracles.CONTAINED,
     "op9_urls": oracles.URLS,
     "op10_jaccard": oracles.JACCARD,
+    "op12_masks": oracles.RANKED,
 }
