@@ -34,8 +34,9 @@ SMOOTH, LEAST_Z = 1.0, 3.0
 PENALTY, ROUNDS = 1e-4, 60
 #: Score from which a text counts as toxic.
 THRESHOLD = 0.7
-#: Labelled text that one task counts, and characters hashed at a time.
-TASK_BYTES, PIECE = 16 << 20, 1 << 20
+#: Labelled text that one task counts, rows that one task of a fitting step reads, and characters hashed at a time.
+#: Each task of a step sends one number for every bucket with a ratio, so small tasks would send more than they read.
+TASK_BYTES, FIT_ROWS, PIECE = 16 << 20, 1 << 14, 1 << 19
 
 
 def pieces(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -182,7 +183,7 @@ def fit(rows: DataFrame, bits: int = BITS, smooth: float = SMOOTH, least_z: floa
     if not ratio.any():
         return Model(weights, prior)
     learner = LogisticRegression(maxIter=ROUNDS, regParam=penalty, elasticNetParam=0.0, standardization=False, tol=1e-6)
-    fitted = learner.fit(written(vectors(rows, ratio)))
+    fitted = learner.fit(written(vectors(rows, ratio)).coalesce(-(-sum(sizes.values()) // FIT_ROWS)))
     chosen = np.flatnonzero(ratio)
     weights[chosen] = ratio[chosen] * fitted.coefficients.toArray()
     return Model(weights, float(fitted.intercept))
