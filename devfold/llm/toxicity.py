@@ -102,9 +102,12 @@ class Model:
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, text, label`` of the documents with a label; of several labels of one id the largest counts."""
+    """``doc_id, text, label`` of the documents with a label; of several labels of one id the largest counts.
+
+    Labels grow with the documents, so neither side is broadcast, however small it is.
+    """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("double").alias("label"))
-    return id_and_text(docs).join(known.where("label IN (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label")), "doc_id")
+    return id_and_text(docs).join(known.where("label IN (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label")).hint("merge"), "doc_id")
 
 
 def bucket_counts(rows: DataFrame, bits: int = BITS) -> np.ndarray:
