@@ -56,6 +56,14 @@ def id_and_text(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front of it until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a table in the shared folder: computed once, safe from lost executors."""
     return materialize(df)

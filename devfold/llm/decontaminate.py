@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from devfold.llm import words as W
-from devfold.llm.common import small_batches
+from devfold.llm.common import release, small_batches
 from devfold.llm.jaccard import shingle_sets
 
 WIDTH, SHARE = 5, 80
@@ -168,6 +168,7 @@ def without_items(docs: DataFrame, items: DataFrame, width: int = WIDTH, share:
                 clean = np.ones(batch.num_rows, bool)
                 clean[index.search(batch.column(at))[0]] = False
                 yield batch.filter(pa.array(clean))
+                release()
 
         return keep
 

@@ -18,12 +18,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from devfold.llm import trie
 from devfold.llm import words as W
-from devfold.llm.common import id_and_text, release, small_batches, written
+from devfold.llm.common import free_name, id_and_text, release, small_batches, written
 from devfold.llm.components import components
 
 WIDTH, SHARE = 3, 90
@@ -313,14 +313,21 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, share: int = SHARE,
 
 
 def one_of_each(docs: DataFrame, width: int = WIDTH, share: int = SHARE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Documents without those that a smaller id of their component stands for; all columns stay.
+    """Documents without those that another one of their component stands for; all columns stay, whatever they are called.
 
-    Of rows that repeat an id one stays, that with the smallest text. Rows with a null id stay.
+    The document with the smallest id stays. Rows whose id is null or comes again are told apart by a 64-bit hash of
+    id and text, which then orders them: different texts under one id are different documents, and of
+    rows alike in id and text one stays. Null and empty texts link with nothing. An empty table stays empty.
     """
-    found = near_components(id_and_text(docs), width, share, block_bytes).where("node <> component").select(F.col("node").alias("_gone"))
-    left = docs.join(_small(written(found)), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
-    if docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").isEmpty():
-        return left
-    order = Window.partitionBy("doc_id").orderBy("text", F.xxhash64(*docs.columns))
-    first = left.where("doc_id IS NOT NULL").withColumn("_at", F.row_number().over(order)).where("_at = 1").drop("_at")
-    return first.unionByName(left.where("doc_id IS NULL"))
+    node, key = free_name(docs, "node"), F.col("doc_id").cast("long")
+    again = written(docs.where("doc_id IS NOT NULL").groupBy(key.alias(node)).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(node))
+    rows = docs.withColumn(node, key)
+    if not again.isEmpty() or not docs.where("doc_id IS NULL").isEmpty():
+        single = rows.where(F.col(node).isNotNull()).join(_small(again), node, "left_anti").select(*docs.columns, node)
+        other = rows.where(F.col(node).isNull()).unionByName(rows.join(_small(again), node, "left_semi").select(*docs.columns, node))
+        # equal rows combine before they move, however many there are
+        once = other.groupBy(F.xxhash64(node, F.col("text").cast("string")).alias("_key")).agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("_row"))
+        rows = written(single.unionByName(once.select("_row.*", F.col("_key").alias(node))))
+    found = near_components(rows.select(F.col(node).alias("doc_id"), F.col("text").cast("string").alias("text")), width, share, block_bytes)
+    gone = written(found.where("node <> component").select(F.col("node").alias(node)))
+    return rows.join(_small(gone), node, "left_anti").select(docs.columns)

@@ -19,11 +19,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from devfold.llm import words as W
-from devfold.llm.common import id_and_text, small_batches, written
+from devfold.llm.common import free_name, id_and_text, release, small_batches, written
 from devfold.llm.jaccard import bucketed
 from devfold.llm.substrings import squeeze, unsqueeze
 
@@ -143,12 +143,12 @@ FOUND = (
 
 
 def scan(docs: DataFrame, reach: int = REACH) -> DataFrame:
-    """Pattern finds of every row, and the words around them."""
+    """Pattern finds of every row ``(doc_id, text, row_key)``, and the words around them."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("entity", pa.int64()), ("kind", pa.int64()), ("domain", pa.int64()), ("term", pa.int64()), ("context", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("shape", pa.string()), ("first", pa.int32())]))
         for batch in batches:
-            out: list[list] = [[] for _ in range(7)]
+            out: list[list] = [[] for _ in range(6)]
             counts = W.split(batch.column(1)).counts
             for text in batch.column(1).to_pylist():
                 spans = entities(text or "")
@@ -156,11 +156,12 @@ def scan(docs: DataFrame, reach: int = REACH) -> DataFrame:
                 words = nearby(text, spans, reach) if spans else []
                 terms = _term_keys([w[1] for w in words])
                 near = [{"entity": e[0], "kind": e[1], "domain": e[2], "term": t, "context": c, "start": a, "end": b, "shape": _shape(w), "first": f} for (e, w, c, a, b, f), t in zip(words, terms, strict=True)]
-                for column, value in zip(out, (key_of(text or ""), *number, spelled(spans), near), strict=True):
+                for column, value in zip(out, (*number, spelled(spans), near), strict=True):
                     column.append(value)
-            kinds = (pa.int64(),) * 5 + (pa.string(), kind)
+            kinds = (pa.int64(),) * 4 + (pa.string(), kind)
             columns = [pa.array(v, t) for v, t in zip(out, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), columns[0], pa.array(counts), *columns[1:]], names=["doc_id", "row_key", "n_words", "n_email", "n_ip", "n_card", "n_phone", "base", "near"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(counts), *columns], names=["doc_id", "row_key", "n_words", "n_email", "n_ip", "n_card", "n_phone", "base", "near"])
+            release()
 
     return docs.mapInArrow(find, FOUND)
 
@@ -193,12 +194,15 @@ def word_counts(docs: DataFrame) -> DataFrame:
             cells = [squeeze(keys[bounds[b] : bounds[b + 1]]) for b in held]
             sums = [n[bounds[b] : bounds[b + 1]].astype("<u4").tobytes() for b in held]
             yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array(cells, pa.binary()), pa.array(sums, pa.binary())], names=["bucket", "keys", "counts"])
+            release()
 
     def add(table: pa.Table) -> pa.Table:
         keys = np.concatenate([unsqueeze(x) for x in table.column("keys").to_pylist()])
         n = np.concatenate([np.frombuffer(x, "<u4") for x in table.column("counts").to_pylist()])
         distinct, which = np.unique(keys, return_inverse=True)
-        return pa.table({"term": distinct.view(np.int64), "n": np.bincount(which, n, len(distinct)).astype(np.int64)})
+        out = pa.table({"term": distinct.view(np.int64), "n": np.bincount(which, n, len(distinct)).astype(np.int64)})
+        release()
+        return out
 
     cells = docs.mapInArrow(count, "bucket int, keys binary, counts binary")
     return cells.groupBy("bucket").applyInArrow(add, "term long, n long")
@@ -269,8 +273,8 @@ def occurrences(docs: DataFrame, terms: DataFrame) -> DataFrame:
             out: list[list] = [[] for _ in range(6)]
             for row, at in zip(*np.unique(rows, return_index=True), strict=True):
                 last = int(np.searchsorted(rows, row, "right"))
-                doc_id, text = batch.column(0)[row].as_py(), batch.column(1)[row].as_py()
-                own, spans = key_of(text), entities(text)
+                doc_id, text, own = (batch.column(i)[row].as_py() for i in range(3))
+                spans = entities(text)
                 ends = np.maximum.accumulate([e for _, _, e in spans]) if spans else np.zeros(0)
                 # the entities that begin before a word ends; the furthest of them must end before the word begins
                 before = np.searchsorted([s for s, _, _ in spans], end[at:last]) - 1
@@ -281,6 +285,7 @@ def occurrences(docs: DataFrame, terms: DataFrame) -> DataFrame:
                             column.append(value)
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds, strict=True)], names=["doc_id", "row_key", "term", "start", "end", "shape"])
+            release()
 
     return docs.mapInArrow(find, "doc_id long, row_key long, term long, start int, end int, shape string")
 
@@ -296,7 +301,7 @@ def find_personal(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, l
     the same answer. Empty tables give no row; only ``doc_id`` and ``text`` are read.
     """
     small_batches(docs.sparkSession)
-    rows = id_and_text(docs)
+    rows = id_and_text(docs).withColumn("row_key", _row_key())
     found = written(scan(rows, reach))
     risky = disclosures(found, rows, support, least)
     near = _pooled(found, "term", "start", "end", "shape").drop("n")
@@ -318,40 +323,37 @@ def find_personal(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, l
 def sanitised(docs: DataFrame, remove: float = REMOVE, **options: object) -> DataFrame:
     """Documents with personal data replaced by its kind and revealing terms generalised or removed.
 
-    All columns stay; ``n_chars``, where there is one, becomes the new length. A null text stays null.
+    All columns stay, whatever they are called; ``n_chars``, where there is one, becomes the new length. A null text stays null.
+    Rows with null or repeated ids are told apart by their texts; rows alike in both get the same new text. An empty table stays empty.
     """
     names = docs.columns
     at = names.index("text")
-    keyed = docs.withColumns({"_row_key": _row_key(F.col("text"))})
-    finds = find_personal(docs, everywhere=True, **options).where("spans <> ''").select(F.col("doc_id").alias("_id"), F.col("row_key").alias("_key"), F.col("spans").alias("_spans"), F.col("terms").alias("_terms")).dropDuplicates(["_id", "_key"])
-    joined = keyed.join(finds, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_row_key") == F.col("_key")), "left").select(*names, "_spans", "_terms")
+    own, key, spans, terms = (free_name(docs, x) for x in ("_id", "_key", "_spans", "_terms"))
+    finds = find_personal(docs, everywhere=True, **options).where("spans <> ''").select(F.col("doc_id").alias(own), F.col("row_key").alias(key), F.col("spans").alias(spans), F.col("terms").alias(terms)).dropDuplicates([own, key])
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(own)) & (_row_key() == F.col(key))
+    joined = docs.join(finds, same, "left").select(*names, spans, terms)
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = list(batch.columns)
             texts = columns[at].to_pylist()
-            for i, (spans, terms) in enumerate(zip(batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist(), strict=True)):
-                if spans:
-                    texts[i] = replaced(texts[i], spans, {t["start"]: (t["disclosure"], t["shape"]) for t in terms or ()}, remove)
+            for i, (found, extra) in enumerate(zip(batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist(), strict=True)):
+                if found:
+                    texts[i] = replaced(texts[i], found, {t["start"]: (t["disclosure"], t["shape"]) for t in extra or ()}, remove)
             columns[at] = pa.array(texts, pa.string())
             if "n_chars" in names:
                 place = names.index("n_chars")
                 sizes = [None if t is None else len(t) for t in texts]
                 columns[place] = pa.array(sizes).cast(columns[place].type)
             yield pa.RecordBatch.from_arrays(columns[: len(names)], names=names)
+            release()
 
     return joined.mapInArrow(rewrite, docs.schema)
 
 
-def _row_key(text) -> object:
-    """The key that :func:`key_of` gives a text, for a column."""
-    from pyspark.sql.functions import pandas_udf
-
-    @pandas_udf("long")
-    def keys(values):
-        return values.fillna("").map(key_of)
-
-    return keys(text)
+def _row_key() -> Column:
+    """What tells rows of one id apart: a 64-bit hash of the text."""
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
 def replaced(text: str, spans: str, terms: dict[int, tuple[float, str]], remove: float) -> str:

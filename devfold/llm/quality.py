@@ -227,5 +227,9 @@ def kept(docs: DataFrame, bands: dict[str, Band] | None = None, widest: Band = W
         for batch in batches:
             yield batch.filter(pa.array(_judge(batch, files, own, widest)[2]))
             release()
+        # the worker goes on to other stages and must not take the word tables along
+        encode.encoder(files[0]).forget()
+        piece_counts(files[1]).forget()
+        release()
 
     return docs.mapInArrow(keep, docs.schema)

@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from devfold.llm import jaccard, trie
 from devfold.llm.components import components
 
-from .conftest import lowered, messy_rows, table
+from .conftest import NEAR, lowered, messy_rows, table
 
 
 def shingles(text, width=3):
@@ -85,16 +85,34 @@ def test_split_component_that_representatives_do_not_join(spark):
         assert sorted(str(tuple(r)) for r in got) == plain(rows)
 
 
-def test_one_of_each(messy):
-    rows = messy_rows()
-    kept = sorted((str(r["doc_id"]), r["text"] or "") for r in jaccard.one_of_each(messy).collect())
-    root = grouped([(r[0], shingles(r[1])) for r in rows], 90)
-    first = {}
-    for r in sorted(rows, key=lambda r: (r[1] is not None, r[1] or "")):
-        if r[0] is not None and root(r[0]) == r[0]:
-            first.setdefault(r[0], (str(r[0]), r[1] or ""))
-    assert kept == sorted([*first.values(), *((str(r[0]), r[1] or "") for r in rows if r[0] is None)])
-    assert jaccard.one_of_each(messy).columns == messy.columns
+def test_one_of_each(spark, messy):
+    """Of every component of different rows one stays; that with the smallest id where all ids are known and differ."""
+    rows = messy_rows() + [(None, NEAR, "de", "t", 2), (None, "alone without an id", "en", "s", 1), (200, NEAR + " more", "en", "s", 1)]
+    nodes = sorted({(r[0], r[1] or "") for r in rows}, key=str)
+    root = grouped([(i, shingles(t)) for i, (_, t) in enumerate(nodes)], 90)
+    groups = {}
+    for i, node in enumerate(nodes):
+        groups.setdefault(root(i), []).append(node)
+    docs = table(spark, rows)
+    kept = [(r["doc_id"], r["text"] or "") for r in jaccard.one_of_each(docs).collect()]
+    assert len(kept) == len(groups)
+    ids = [r[0] for r in rows]
+    for group in groups.values():
+        (stays,) = [node for node in kept if node in group]
+        if all(i is not None and ids.count(i) == 1 for i, _ in group):
+            assert stays[0] == min(i for i, _ in group)
+    assert {(13, "other text under the same id"), (13, "and one more text under it")} <= set(kept)
+    assert jaccard.one_of_each(docs).columns == docs.columns
+
+
+def test_one_of_each_with_clashing_names(spark):
+    rows = [(1, NEAR, 1, 2, 3, 4), (2, NEAR, 1, 2, 3, 4), (3, "short", 1, 2, 3, 4), (3, "other", 1, 2, 3, 4), (None, "x", 1, 2, 3, 4), (None, "x", 1, 2, 3, 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _at int, node int, Component int, _key int")
+    got = jaccard.one_of_each(docs)
+    assert got.columns == docs.columns
+    assert sorted((str(r.doc_id), r.text, r.node) for r in got.collect()) == [("1", NEAR, 2), ("3", "other", 2), ("3", "short", 2), ("None", "x", 2)]
+    unique = docs.where("doc_id < 3")
+    assert [r.doc_id for r in jaccard.one_of_each(unique).collect()] == [1]
 
 
 def test_empty(empty):

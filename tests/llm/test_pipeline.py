@@ -46,6 +46,6 @@ def test_stages_and_run(spark, tmp_path):
 def test_registered():
     import __spark_entry__
 
-    assert "pipeline" in __spark_entry__.queries() and len([k for k in __spark_entry__.queries() if re.match(r"op\d+_", k)]) == 10
+    assert "pipeline" in __spark_entry__.queries() and len([k for k in __spark_entry__.queries() if re.match(r"op\d+_", k)]) == 13
     assert [f.__name__ for _, f in P.STAGES] == ["good", "distinct", "unseen", "sanitised", "packed"] and P.ORACLE_SQL is None
     assert NEAR and all((jaccard, pack, privacy, quality))

@@ -140,3 +140,15 @@ def test_a_word_between_two_entities_counts_once():
     near = privacy.nearby(text, privacy.entities(text), 5)
     assert [w[5] for w in near if w[1] == "between"] == [0b111, 0b001]
     assert privacy.pools(3, "+1 (555) 010-9999") == privacy.pools(3, "+15550109999") and privacy.pools(1, "10.0.0.01")[0] == privacy.pools(1, "10.0.0.1")[0]
+
+
+def test_sanitised_with_clashing_names_and_rows(spark):
+    text = "write to me.x@ex-a.example.com now"
+    rows = [(1, text, "a", "b", 7), (None, text, "a", "b", 7), (None, None, "a", "b", 7), (2, "", "a", "b", 7), (1, text, "c", "b", 7), (1, "clean", "a", "b", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _spans string, row_key string, _id int")
+    got = privacy.sanitised(docs)
+    assert got.columns == docs.columns
+    new = "write to <EMAIL> now"
+    wanted = [(i, new if t == text else t, *rest) for i, t, *rest in rows]
+    assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, wanted))
+    assert privacy.sanitised(docs.limit(0)).count() == 0
