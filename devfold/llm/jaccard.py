@@ -6,8 +6,8 @@ superset of the links, exact in that it loses none). Shingles that a bounded sam
 common are left out of all signatures alike: that loses no link either, and keeps passages that
 many documents share from joining them. The sets of a coarse component then
 meet in blocks, where a prefix tree finds the links. Exact copies stand for one set. A
-component too large for one block is split by a hash; its parts are joined through
-representatives, and what stays apart is compared part against part.
+component too large for one block is cut by set size; its parts are joined through
+representatives, and what stays apart is compared with the parts that hold sets of like size.
 No pairs of a group are listed: signatures give stars, blocks give spanning links.
 """
 
@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from devfold.llm import trie
@@ -238,10 +238,21 @@ def _small(df: DataFrame) -> DataFrame:
 
 
 def _parted(rows: DataFrame, block_bytes: int) -> DataFrame:
-    """Rows with the number of parts of their coarse component and the part each falls into."""
-    sizes = rows.groupBy("coarse").agg(F.ceil(F.sum(F.octet_length("cell")) / block_bytes).cast("int").alias("parts"))
-    parted = rows.join(_small(written(sizes.where("parts > 1"))), "coarse", "left")
-    return parted.withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
+    """Rows ``(coarse, doc_id, n, ...)`` with the part of their coarse component each falls into, and whether it has several.
+
+    A component beyond ``block_bytes`` is cut by the size of the sets, as sets that link are of like size: sizes
+    follow each other until half a block is full. A size that fills more than that is dealt over parts by a hash.
+    """
+    half = max(8, block_bytes // 2)
+    large = rows.groupBy("coarse").agg((8 * F.sum("n")).alias("bytes")).where(F.col("bytes") > block_bytes).select("coarse")
+    sizes = rows.join(_small(written(large)), "coarse").groupBy("coarse", "n").agg((8 * F.sum("n")).alias("bytes"))
+    before = Window.partitionBy("coarse").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+    placed = sizes.select(
+        "coarse", "n", F.floor(F.coalesce(F.sum("bytes").over(before), F.lit(0)) / half).alias("first"), F.ceil(F.col("bytes") / half).alias("spread")
+    )
+    dealt = rows.join(_small(written(placed)), ["coarse", "n"], "left")
+    part = F.col("first") + F.pmod(F.xxhash64("doc_id"), F.col("spread"))
+    return dealt.withColumns({"part": F.coalesce(part, F.lit(0)).cast("long"), "several": F.col("first").isNotNull()}).drop("first", "spread")
 
 
 def verified(docs: DataFrame, members: DataFrame, width: int, share: int, block_bytes: int) -> DataFrame:
@@ -253,20 +264,20 @@ def verified(docs: DataFrame, members: DataFrame, width: int, share: int, block_
             keys, bounds = shingle_sets(batch.column(1), width)
             sums = [np.concatenate([[0], np.cumsum(x, dtype=np.uint64)]) for x in (W.mix(keys), W.mix(keys ^ np.uint64(0x5851F42D4C957F2D)))]
             marks = [(x[bounds[1:]] - x[bounds[:-1]]).view(np.int64) for x in sums]
-            yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(0), *map(pa.array, marks), W.ragged(keys, bounds)], names=["coarse", "doc_id", "f1", "f2", "cell"])
+            yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(0), *map(pa.array, marks), pa.array(np.diff(bounds), pa.int64()), W.ragged(keys, bounds)], names=["coarse", "doc_id", "f1", "f2", "n", "cell"])
             release()
 
-    schema = "coarse long, doc_id long, f1 long, f2 long, cell binary"
-    sets = written(rows.mapInArrow(build, schema).where("octet_length(cell) > 0"))
+    schema = "coarse long, doc_id long, f1 long, f2 long, n long, cell binary"
+    sets = written(rows.mapInArrow(build, schema).where("n > 0"))
     # the smallest document speaks for equal sets; cells move once, to their block
     first = written(sets.groupBy("coarse", "f1", "f2").agg(F.min("doc_id").alias("src")))
     copies = sets.select("coarse", "f1", "f2", F.col("doc_id").alias("dst")).join(first, ["coarse", "f1", "f2"]).where("src <> dst").select("src", "dst")
     alone = first.groupBy("coarse").agg(F.count(F.lit(1)).alias("n")).where("n = 1").select("coarse")
     heads = written(first.join(alone, "coarse", "left_anti").select("f1", "f2", F.col("src").alias("doc_id")))
-    distinct = sets.join(_small(heads), ["f1", "f2", "doc_id"]).select("coarse", "doc_id", "cell")
+    distinct = sets.join(_small(heads), ["f1", "f2", "doc_id"]).select("coarse", "doc_id", "n", "cell")
     parted = _parted(distinct, block_bytes).withColumn("label", F.col("doc_id"))
     links = written(grouped_links(parted, share))
-    large = parted.where("parts > 1").drop("parts", "part", "label")
+    large = parted.where("several").drop("several", "part", "label")
     if large.isEmpty():
         return copies.unionByName(links)
     # representatives of what each part has joined meet in further rounds, as long as that shrinks
@@ -280,13 +291,15 @@ def verified(docs: DataFrame, members: DataFrame, width: int, share: int, block_
         if more.isEmpty():
             break
         links = written(links.unionByName(more))
-    # what is still apart in a split component: every part against every part, nothing left out
+    # what is still apart in a split component: every part against those with sets of like size, nothing left out
     unsettled = labels.groupBy("coarse").agg(F.count_distinct("label").alias("n")).where("n > 1").select("coarse")
     waiting = written(labels.join(unsettled, "coarse"))
-    left = _parted(large.join(_small(waiting), ["coarse", "doc_id"]), block_bytes).where("parts > 1")
     if not waiting.isEmpty():
-        other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-        grid = left.withColumn("other", other).withColumn("part", F.least("part", "other") * 65536 + F.greatest("part", "other"))
+        # the cut is that of the first round, so what shares a part has met there
+        left = _parted(large.join(_small(waiting), ["coarse", "doc_id"]), block_bytes).where("several")
+        bounds = written(left.groupBy(F.col("coarse").alias("_coarse"), F.col("part").alias("other")).agg(F.min("n").alias("lo"), F.max("n").alias("hi")))
+        alike = (F.col("coarse") == F.col("_coarse")) & (F.col("part") != F.col("other")) & (share * F.col("lo") <= 100 * F.col("n")) & (100 * F.col("hi") >= share * F.col("n"))
+        grid = left.join(_small(bounds), alike).withColumn("part", F.least("part", "other") * (1 << 31) + F.greatest("part", "other"))
         links = links.unionByName(grouped_links(grid, share))
     return copies.unionByName(links)
 
