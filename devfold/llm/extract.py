@@ -11,6 +11,7 @@ speak. Elements that never hold text (scripts, styles, forms, ...) do not become
 
 from __future__ import annotations
 
+import functools
 import html
 import re
 import zlib
@@ -24,17 +25,15 @@ from pyspark.sql import functions as F
 
 from devfold.llm.common import small_batches
 
-#: Pages in the training sample at most, blocks of a training page at most, passes, and pages in a step.
-SAMPLE_PAGES, SAMPLE_BLOCKS, PASSES, STEP_PAGES = 240, 120, 4, 16
-#: Characters of a training page that are looked at; extraction itself reads whole pages.
-TRAINED_CHARS = 200_000
+#: Training sample: pages and characters at most, always of whole pages. Passes, and pages in a step.
+SAMPLE_PAGES, SAMPLE_CHARS, PASSES, STEP_PAGES = 240, 16_000_000, 4, 16
 HIDDEN, PATH_CELLS, WORD_CELLS, NUMBERS = 16, 128, 64, 4
 INPUTS = PATH_CELLS + WORD_CELLS + NUMBERS
 
 # Element names of HTML.
-SILENT = frozenset("script style noscript template head title svg math iframe object canvas audio video select textarea button option datalist".split())
+SILENT = frozenset("script style noscript template head title svg iframe object canvas audio video select textarea button option datalist".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr b bdi bdo cite code data dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var del big".split())
+INLINE = frozenset("a abbr b bdi bdo cite code data dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var del big math mi mn mo mrow mtext msup msub mfrac msqrt semantics".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 ITEMS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 MAIN = frozenset(("article", "main"))
@@ -131,7 +130,7 @@ def parse(page: str) -> list[Block]:
                 flush()
             continue
         if element in SILENT:
-            if element not in ("button", "svg", "math", "select", "textarea", "option"):
+            if element not in ("button", "svg", "select", "textarea", "option"):
                 flush()
             if not tag.endswith("/>") and element not in ("head", "option"):
                 end = re.compile(rf"</{re.escape(element)}\s*>", re.I).search(page, at)
@@ -162,18 +161,25 @@ def parse(page: str) -> list[Block]:
     return blocks
 
 
+def outer(path: tuple[str, ...]) -> tuple[str, ...]:
+    """The path without the headers of an article or main element: those hold its title, not that of the page."""
+    first = next((i for i, s in enumerate(path) if s.partition(" ")[0] in MAIN), len(path))
+    return tuple(s for i, s in enumerate(path) if i < first or s.partition(" ")[0] != "header")
+
+
 def taught(blocks: list[Block]) -> np.ndarray:
     """Labels from the meaning of elements: inside an article or main element, and inside no surroundings.
 
     A page without such an element counts blocks outside surroundings that are mostly not links.
     """
     inside = [any(s.partition(" ")[0] in MAIN for s in b.path) for b in blocks]
-    around = [any(s.partition(" ")[0] in AROUND or AROUND_WORDS.intersection(s.split(" ")[1:]) for s in b.path) for b in blocks]
+    around = [any(s.partition(" ")[0] in AROUND or AROUND_WORDS.intersection(s.split(" ")[1:]) for s in outer(b.path)) for b in blocks]
     if any(inside):
         return np.array([i and not a for i, a in zip(inside, around, strict=True)])
     return np.array([not a and 2 * b.linked < len(b.text) for a, b in zip(around, blocks, strict=True)], bool)
 
 
+@functools.lru_cache(maxsize=1 << 16)
 def cell(text: str, cells: int) -> int:
     return zlib.crc32(text.encode()) % cells
 
@@ -186,16 +192,16 @@ def features(blocks: list[Block]) -> np.ndarray:
         known = seen.get(block.path)
         if known is None:
             known = seen[block.path] = np.zeros(PATH_CELLS, np.float32)
-            for entry in block.path:
+            path = outer(block.path)
+            for entry in path:
                 for word in entry.split(" "):
                     known[cell(word, PATH_CELLS)] = 1
-            if block.path:
-                known[cell("^" + block.path[-1].partition(" ")[0], PATH_CELLS)] = 1
+            if path:
+                known[cell("^" + path[-1].partition(" ")[0], PATH_CELLS)] = 1
         row[:PATH_CELLS] = known
         words = block.text.split()
-        for word in words[:40]:
-            row[PATH_CELLS + cell(word.lower(), WORD_CELLS)] += 1
-        row[PATH_CELLS : PATH_CELLS + WORD_CELLS] /= max(1, min(len(words), 40))
+        cells = np.fromiter((cell(word, WORD_CELLS) for word in block.text.lower().split()), np.int64)
+        row[PATH_CELLS : PATH_CELLS + WORD_CELLS] = np.bincount(cells, minlength=WORD_CELLS) / max(1, len(words))
         size = len(block.text)
         row[-NUMBERS:] = (np.log1p(size) / 5, block.linked / size, np.log1p(len(words)) / 4, block.text[-1] in ".!?")
     return out
@@ -314,14 +320,22 @@ def padded(pages: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return x, mask, y
 
 
-def train(pages: DataFrame, sample: int = SAMPLE_PAGES) -> Labeller:
-    """A labeller fitted on at most ``sample`` pages, those with the smallest hash of their id."""
-    hashed = pages.where("html IS NOT NULL").select("html", F.xxhash64("page_id", "url").alias("_h"))
-    last = hashed.select("_h").orderBy("_h").limit(sample).agg(F.max("_h")).first()[0]  # hashes alone travel to be ordered
-    rows = hashed.where(F.col("_h") <= F.lit(last)).select(F.substring("html", 1, TRAINED_CHARS)).limit(sample).collect()
+def train(pages: DataFrame, sample: int = SAMPLE_PAGES, chars: int = SAMPLE_CHARS) -> Labeller:
+    """A labeller fitted on at most ``sample`` whole pages of at most ``chars`` characters together.
+
+    They are taken by ascending hash of the row, equal rows once; a page that goes beyond the characters is passed over.
+    """
+    hashed = pages.where("html IS NOT NULL").select("html", F.xxhash64("page_id", "url", "html").alias("_h"))
+    known = hashed.select("_h", F.char_length("html").alias("_n")).distinct().orderBy("_h").limit(sample).collect()
+    taken, left = [], chars
+    for h, size in known:
+        if size <= left:
+            taken.append(h)
+            left -= size
+    rows = hashed.where(F.col("_h").isin(taken)).groupBy("_h").agg(F.first("html").alias("html")).orderBy("_h").select("html").collect()
     shown = []
     for (page,) in rows:
-        blocks = parse(page)[:SAMPLE_BLOCKS]
+        blocks = parse(page)
         if blocks:
             labels = taught(blocks)
             shown += [(features(blocks), labels), (features(renamed(blocks)), labels)]
@@ -333,7 +347,7 @@ def extract(pages: DataFrame, labeller: Labeller | None = None, sample: int = SA
 
     Blocks labelled as main text, joined by a line feed, are the text; white space in a block
     is one space. A block inside an element that HTML reserves for surroundings is never main
-    text, whatever its label. A null or empty page, or one without main
+    text, whatever its label; the header of an article or main element is judged like the rest of it. A null or empty page, or one without main
     text, gives an empty text. Pages are whole; rows with null or repeated ids stay rows.
     Only ``page_id``, ``url`` and ``html`` are read.
     """
@@ -354,5 +368,5 @@ def extract(pages: DataFrame, labeller: Labeller | None = None, sample: int = SA
 
 
 def checked(blocks: list[Block], labels: np.ndarray) -> np.ndarray:
-    """Labels without the blocks that stand in an element of the surroundings."""
-    return labels & np.array([not any(s.partition(" ")[0] in AROUND for s in b.path) for b in blocks], bool)
+    """Labels without the blocks that stand in an element of the surroundings; the header of an article is none."""
+    return labels & np.array([not any(s.partition(" ")[0] in AROUND for s in outer(b.path)) for b in blocks], bool)

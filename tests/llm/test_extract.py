@@ -78,6 +78,40 @@ def test_parser():
     assert X.parse("") == [] and [b.text for b in X.parse("a < b <")] == ["a < b <"]
 
 
+def test_title_in_the_header_of_an_article(labeller):
+    page = "<body><header><p>Site name</p></header><nav><a href=x>One</a> <a href=y>Two</a></nav><article><header><h1>Flood in town</h1></header><p>Some words on the flood and on what it did to the town.</p><p>More words on the flood, the town and the river that runs there.</p></article><footer><p>Imprint</p></footer></body>"
+    blocks = X.parse(page)
+    assert [b.text for b, y in zip(blocks, X.taught(blocks)) if y][0] == "Flood in town"
+    kept = [b.text for b, y in zip(blocks, X.checked(blocks, labeller.label([X.features(blocks)])[0])) if y]
+    assert kept[0] == "Flood in town" and len(kept) == 3
+
+
+def test_formulas_stay_in_their_paragraph():
+    (block,) = X.parse("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p>")
+    assert block.text == "so x=1 holds"
+
+
+def test_every_word_of_a_block_counts():
+    path = ("div", "p")
+    one, two = (X.features([X.Block(path, "same " * 60 + tail, 0)]) for tail in ("ends here", "goes there"))
+    assert (one != two).any()
+    cells = X.features([X.Block(path, "same " * 60, 0)])[0, X.PATH_CELLS : X.PATH_CELLS + X.WORD_CELLS]
+    assert cells.max() == 1
+
+
+def test_sample_of_whole_pages(spark, monkeypatch):
+    """Equal rows are drawn once, and pages beyond the characters are passed over, not cut."""
+    shown = []
+    monkeypatch.setattr(X, "parse", lambda page: shown.append(page) or [])
+    rows = [(1, "u", "a" * 50)] * 30 + [(2, "v", "b" * 500), (3, "w", "c" * 40), (None, None, "d" * 30)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    X.train(pages, 240, 200)
+    assert sorted(shown) == ["a" * 50, "c" * 40, "d" * 30]
+    shown.clear()
+    X.train(pages, 2, 10**6)
+    assert len(shown) == 2
+
+
 def test_messy(spark, labeller):
     rows = [(1, None, None), (2, "u", ""), (3, "u", "   "), (4, "u", "plain text"), (4, "u", "plain text"), (None, "u", "<p>" * 5000 + "deep"), (6, "u", "<article>" + "<p>word word word.</p>" * 5000 + "</article>"), (7, "u", "<<<>>><a<b>&#x110000;&bogus;")]
     pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, text string")
