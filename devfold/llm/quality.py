@@ -9,6 +9,7 @@ is rejected. Distinct words are encoded once per worker. Map-only: no shuffle.
 from __future__ import annotations
 
 import functools
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,6 +24,10 @@ from devfold.llm.common import release, small_batches
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
+#: First bytes of letters: Latin ones (1, up to U+027F), and of other scripts (-1); punctuation and symbols from U+2000 on count for none.
+SCRIPT = np.zeros(256, np.int8)
+SCRIPT[[*range(65, 91), *range(97, 123), *range(0xC3, 0xCA)]] = 1
+SCRIPT[[*range(0xCA, 0xE2), *range(0xE3, 0xF0)]] = -1
 LEAST_WORDS, MOST_REPEATED = 50, 50
 
 
@@ -141,6 +146,7 @@ def measures(texts: pa.Array, word_vocabulary: str, piece_vocabulary: str) -> di
     pieces, fallback = piece_counts(piece_vocabulary).count(words, hashes)
     ids, bounds = encode.encoder(word_vocabulary).encode(texts)
     values = (
+        sums_by(words.offsets, SCRIPT[words.data]),
         words.counts,
         chars,
         sums_by(words.offsets, SYMBOLS[words.data]),
@@ -151,7 +157,7 @@ def measures(texts: pa.Array, word_vocabulary: str, piece_vocabulary: str) -> di
         entropy(ids, bounds),
         np.diff(bounds),
     )
-    return dict(zip(MEASURES, values, strict=True))
+    return dict(zip(("script", *MEASURES), values, strict=True))
 
 
 #: Bands by language, set between the good and bad labelled documents of the sf0.1 tables
@@ -163,15 +169,27 @@ BANDS = {
     "es": Band((1.65, 2.6), 0.05, tuple(zip(_LENGTHS, (5.20, 5.40, 5.80, 6.07, 6.27, 6.35, 6.45), strict=True))),
     "fr": Band((1.5, 2.7), 0.05, tuple(zip(_LENGTHS, (5.25, 5.50, 5.72, 5.90, 6.02, 6.07, 6.10), strict=True))),
 }
-#: For other languages and null: nothing known of their entropy.
-WIDEST = Band((0.5, 12.0), 0.50, ((0.0, 0.0),))
+#: For other languages and null, by the script most letters of the text have: Latin letters get the widest limits of
+#: the four languages; of other scripts only gross failures are known.
+LATIN = Band(
+    (min(b.chars_per_token[0] for b in BANDS.values()), max(b.chars_per_token[1] for b in BANDS.values())),
+    max(b.most_fallback for b in BANDS.values()),
+    tuple((size, min(dict(b.least_entropy)[size] for b in BANDS.values())) for size in _LENGTHS),
+)
+WIDEST = Band((0.5, 12.0), 0.50, tuple(zip(_LENGTHS, (3.0, 3.25, 3.5, 3.75, 4.0, 4.25, 4.5), strict=True)))
+
+
+def band_of(lang: str | None, script: int, bands: dict[str, Band], widest: Band) -> Band:
+    """The band of a language, by the first part of its tag, or else that of the script most letters of the text have."""
+    known = bands.get(re.split("[-_]", lang.strip().lower())[0]) if lang else None
+    return known or (LATIN if script >= 0 else widest)
 
 
 def verdicts(values: dict[str, np.ndarray], langs: list[str | None], bands: dict[str, Band], widest: Band) -> tuple[np.ndarray, np.ndarray]:
     """Base failures, and which texts are kept."""
     words = values["n_words"]
     failed = (words < LEAST_WORDS) | (100 * values["n_repeat_words"] > MOST_REPEATED * words)
-    own = [bands.get(x, widest) for x in langs]
+    own = [band_of(x, s, bands, widest) for x, s in zip(langs, values["script"].tolist(), strict=True)]
     low, high = np.array([b.chars_per_token for b in own], float).reshape(-1, 2).T
     inside = (values["chars_per_token"] >= low) & (values["chars_per_token"] <= high)
     inside &= values["fallback_share"] <= np.array([b.most_fallback for b in own], float)
@@ -199,7 +217,9 @@ def _files(word_vocabulary: str | None, piece_vocabulary: str | None) -> tuple[s
 def judged(docs: DataFrame, bands: dict[str, Band] | None = None, widest: Band = WIDEST, word_vocabulary: str | None = None, piece_vocabulary: str | None = None) -> DataFrame:
     """Counts, measures and verdict of every row.
 
-    A null or empty text has no words and fails the base rules. Rows are judged one by one;
+    ``bands`` are by language, the first part of a tag such as ``en-GB``; texts of other languages are held to the widest
+    limits of the known ones where most of their letters are Latin, else to ``widest``. To set bands for a language, take the
+    measures of texts known to be good. A null or empty text has no words and fails the base rules. Rows are judged one by one;
     null ids and languages are allowed, as is a table without ``lang``. Other columns are not read.
     """
     small_batches(docs.sparkSession)
@@ -210,7 +230,7 @@ def judged(docs: DataFrame, bands: dict[str, Band] | None = None, widest: Band =
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values, failed, kept = _judge(batch, files, own, widest)
-            columns = {"doc_id": batch.column(0)} | {k: pa.array(v) for k, v in values.items()} | {"base_failed": pa.array(failed), "kept": pa.array(kept)}
+            columns = {"doc_id": batch.column(0)} | {k: pa.array(values[k]) for k in MEASURES} | {"base_failed": pa.array(failed), "kept": pa.array(kept)}
             names = [x.split()[0] for x in OUT.split(", ")]
             yield pa.RecordBatch.from_arrays([columns[n] for n in names], names=names)
             release()
