@@ -14,8 +14,8 @@ from devfold.models.fit import (
     NETWORKS,
     STACKED_INPUTS,
     Network,
-    fit_age,
-    fit_gender,
+    fit_age_network,
+    fit_gender_network,
     fit_mlp,
 )
 from devfold.models.split import with_fold
@@ -66,14 +66,14 @@ def fit_stacked(
     folds: int = 3,
     seed: int = 0,
     size: Network = NETWORKS["stacked"],
-    age_fit: Callable[[DataFrame], PipelineModel] = fit_age,
-    gender_fit: Callable[[DataFrame], PipelineModel] = fit_gender,
+    age_fit: Callable[[DataFrame], PipelineModel] = fit_age_network,
+    gender_fit: Callable[[DataFrame], PipelineModel] = fit_gender_network,
 ) -> StackedModel:
     """Fit both stages.
 
     Training rows get their first-stage predictions from models that never saw
     them: each fold is scored by a fit on the other folds. New devices are scored
-    by fits on all rows.
+    by fits on all rows. ``age_fit`` may be any fit that adds ``age_prediction``, such as the boosted trees of ``fit_age``.
     """
     parts = with_fold(train, folds, seed)
     scored = []

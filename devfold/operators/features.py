@@ -11,7 +11,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from devfold.operators.joins import spread_join
+from devfold.operators.positions import numbered
 from devfold.schemas import TOTALS
+from devfold.session import materialize
 
 LONG = ["device_id", "block", "feature", "value"]
 
@@ -76,14 +79,14 @@ class Block:
     key: str | None = None
     first: int = 0
 
-    def placed(self, offset: int, flag: int) -> DataFrame:
+    def placed(self, offset: int, flag: int, kind: str = "bigint") -> DataFrame:
         """``(device_id, at, value, flag)``; a null key has a null place, one outside the names ends the run."""
         at = F.lit(0) if self.key is None else F.col(self.key) - self.first
         inside = placed_inside(at.cast("int"), len(self.names), self.key or self.value) + offset
         return self.counts.where(F.col(self.value).isNotNull()).select(
             "device_id",
             inside.cast("int").alias("at"),
-            F.col(self.value).cast("bigint").alias("value"),
+            F.col(self.value).cast(kind).alias("value"),
             F.lit(flag).alias("flag"),
         )
 
@@ -97,32 +100,75 @@ def attach_blocks(attributes: DataFrame, *blocks: Block) -> DataFrame:
     one pivot widens everything, so rows of a thousand columns are neither
     shuffled, sorted nor joined. Adaptive execution sizes the partitions.
     """
-    offsets = [sum(len(b.names) for b in blocks[:i]) for i in range(len(blocks))]
-    flags = [-1 - i for i in range(len(blocks))]
+    flags, offsets = _places(blocks)
     tall = reduce(
         DataFrame.unionByName, [b.placed(o, f) for b, o, f in zip(blocks, offsets, flags)]
     )
-    present = F.struct(F.col("flag").alias("at"), F.lit(1).cast("bigint").alias("value"))
-    cells = tall.repartition("device_id").select(
-        "device_id", F.inline(F.array(F.struct("at", "value"), present))
+    wide = _pivoted(attributes, tall, flags + _columns(blocks), "bigint")
+    return wide.selectExpr(
+        *[f"`{c}`" for c in attributes.columns],
+        *[
+            f"if(`{flag}` is null, null, coalesce(`{offset + i}`, 0L)) as `{name}`"
+            for b, offset, flag in zip(blocks, offsets, flags)
+            for i, name in enumerate(b.names)
+        ],
     )
-    positions = flags + list(range(sum(len(b.names) for b in blocks)))
-    wide = (
-        attributes.join(cells.hint("merge"), "device_id", "left")
-        .groupBy(*attributes.columns)
-        .pivot("at", positions)
-        .agg(F.sum("value"))
+
+
+def attach_scaled_blocks(attributes: DataFrame, factors: DataFrame, *blocks: Block) -> DataFrame:
+    """:func:`attach_blocks` with every column divided by its factor, null throughout where that is 0.
+
+    Values are divided while they are long, so the pivot carries doubles and no number of
+    ``factors`` comes to the driver. ``factors`` has one row for each name of a vocabulary (see
+    ``scale_factors``), which bounds the broadcast; a column without a factor keeps its values.
+    """
+    flags, offsets = _places(blocks)
+    names = [name for b in blocks for name in b.names]
+    places = attributes.sparkSession.createDataFrame(list(enumerate(names)), "at int, feature string")
+    known = places.join(F.broadcast(factors), "feature", "left").select("at", F.coalesce("factor", F.lit(1.0)).alias("factor"))
+    tall = reduce(
+        DataFrame.unionByName, [b.placed(o, f, "double") for b, o, f in zip(blocks, offsets, flags)]
     )
+    scaled = tall.join(F.broadcast(known), "at", "left").select(
+        "device_id", "at", F.try_divide("value", "factor").alias("value"), "flag"
+    )
+    wide = _pivoted(attributes, scaled, flags + _columns(blocks), "double")
+    # one answer for each place, in order: whether its column is null throughout
+    dead = known.agg(F.sort_array(F.collect_list(F.struct("at", (F.col("factor") == 0).alias("dead")))).alias("x"))
+    wide = wide.withColumn("_dead", dead.select("x.dead").scalar())
     return wide.selectExpr(
         *[f"`{c}`" for c in attributes.columns],
         *[
-            f"if(`{flag}` is null, null, coalesce(`{offset + i}`, 0L)) as `{name}`"
+            f"if(`{flag}` is null or _dead[{offset + i}], null, coalesce(`{offset + i}`, 0D)) as `{name}`"
             for b, offset, flag in zip(blocks, offsets, flags)
             for i, name in enumerate(b.names)
         ],
     )
 
 
+def _places(blocks: tuple[Block, ...]) -> tuple[list[int], list[int]]:
+    """For each block, the position that marks its presence and that of its first column."""
+    return [-1 - i for i in range(len(blocks))], [sum(len(b.names) for b in blocks[:i]) for i in range(len(blocks))]
+
+
+def _columns(blocks: tuple[Block, ...]) -> list[int]:
+    return list(range(sum(len(b.names) for b in blocks)))
+
+
+def _pivoted(attributes: DataFrame, tall: DataFrame, positions: list[int], kind: str) -> DataFrame:
+    """Attributes with one column for each position of ``(device_id, at, value, flag)``."""
+    present = F.struct(F.col("flag").alias("at"), F.lit(1).cast(kind).alias("value"))
+    cells = tall.repartition("device_id").select(
+        "device_id", F.inline(F.array(F.struct("at", "value"), present))
+    )
+    return (
+        attributes.join(cells.hint("merge"), "device_id", "left")
+        .groupBy(*attributes.columns)
+        .pivot("at", positions)
+        .agg(F.sum("value"))
+    )
+
+
 def long_block(counts: DataFrame, block: Column, feature: Column, value: str) -> DataFrame:
     """Counts as ``(device_id, block, feature, value)``; rows without a key are no feature."""
     return counts.select(
@@ -249,21 +295,6 @@ def apply_scale(long: DataFrame, factors: DataFrame) -> DataFrame:
     return joined.select("device_id", "block", "feature", scaled.alias("value"))
 
 
-def scale_wide(df: DataFrame, factors: DataFrame) -> DataFrame:
-    """The same division on wide columns, for export.
-
-    The factors are collected: one number per vocabulary entry, as many as there
-    are columns to write.
-    """
-    known = {r.feature: r.factor for r in factors.collect()}
-    return df.selectExpr(
-        *[
-            f"try_divide(cast(`{c}` as double), {known[c]!r}D) as `{c}`" if c in known else f"`{c}`"
-            for c in df.columns
-        ]
-    )
-
-
 def standardize(df: DataFrame, columns: list[str]) -> DataFrame:
     """Columns to zero mean and unit sample variance; a constant column becomes 0."""
     packed = VectorAssembler(inputCols=columns, outputCol="_in").transform(df)
@@ -291,7 +322,10 @@ def replace_columns(df: DataFrame, mapping: Mapping[str, Column | str]) -> DataF
 
 
 def category_indexer(columns: list[str]) -> StringIndexer:
-    """Alphabetical codes; levels unseen in training and nulls share one extra code."""
+    """Alphabetical codes; levels unseen in training and nulls share one extra code.
+
+    The levels come to the driver: for columns of any number of levels see ``level_codes``.
+    """
     return StringIndexer(
         inputCols=columns,
         outputCols=[f"{c}_idx" for c in columns],
@@ -300,7 +334,41 @@ def category_indexer(columns: list[str]) -> StringIndexer:
     )
 
 
-def index_categories(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Add ``{column}_idx`` codes learnt from ``df`` itself."""
-    return category_indexer(columns).fit(df).transform(df)
+def level_codes(df: DataFrame, column: str) -> DataFrame:
+    """``(level, code)``: the distinct levels of a column and their places, from 0, in alphabetical order.
+
+    Nulls have no code. Levels are dealt by range, so there may be any number of them.
+    """
+    levels = df.select(F.col(column).cast("string").alias("level")).where("level is not null").distinct()
+    return numbered(levels, ["level"], "code").select("level", (F.col("code") - 1).cast("double").alias("code"))
+
 
+def index_categories(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Add ``{column}_idx`` codes learnt from ``df`` itself; nulls share the code behind the last level."""
+    for column in columns:
+        codes = materialize(level_codes(df, column)).withColumnRenamed("code", f"{column}_idx")
+        beyond = codes.agg(F.coalesce(F.max(f"{column}_idx") + 1, F.lit(0.0))).scalar()
+        key = f"_{column}_level"
+        keyed = df.withColumn(key, F.col(column).cast("string"))
+        joined = spread_join(keyed, codes.withColumnRenamed("level", key), key, "left", stable=df.columns)
+        df = joined.drop(key).withColumn(f"{column}_idx", F.coalesce(f"{column}_idx", beyond))
+    return df
+
+
+def frequent_levels(df: DataFrame, column: str, limit: int) -> list[str] | None:
+    """The ``limit`` most frequent levels of a column, ties by name; None where it has no more than that."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("string").alias("level")).agg(F.count(F.lit(1)).alias("n"))
+    rows = counts.orderBy(F.desc("n"), "level").limit(limit + 1).collect()
+    return [r.level for r in rows[:limit]] if len(rows) > limit else None
+
+
+def slotted(column: str, levels: list[str], slots: int) -> str:
+    """SQL that keeps the given levels of a column and names the others by one of ``slots`` slots of a hash."""
+    known = ", ".join(_literal(level) for level in levels)
+    slot = f"concat('slot ', cast(pmod(xxhash64(cast(`{column}` as string)), {slots}) as string))"
+    return f"CASE WHEN `{column}` IS NULL THEN NULL WHEN cast(`{column}` as string) IN ({known}) THEN cast(`{column}` as string) ELSE {slot} END"
+
+
+def _literal(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"

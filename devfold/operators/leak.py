@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from devfold.operators.attributes import all_devices
 from devfold.operators.joins import spread_join
+from devfold.operators.positions import numbered
 
 COLUMNS = ["device_id", "phone_brand", "device_model", "gender", "age", "grp"]
 
@@ -38,5 +39,14 @@ def leak_table(
     return ordered.select(*COLUMNS, "event")
 
 
+def leak_positions(
+    train: DataFrame, test: DataFrame, phones: DataFrame, events: DataFrame
+) -> DataFrame:
+    """The rows of :func:`leak_table` with their place in its order, from 1; rows alike in all keys follow in any order."""
+    devices = all_devices(train, test).join(first_event(events), "device_id", "left")
+    joined = spread_join(phones, devices, "device_id").select(*COLUMNS, "event")
+    return numbered(joined, ["phone_brand", "device_model", "device_id"])
+
+
 def _numbered(phones: DataFrame) -> DataFrame:
     return phones.withColumn("_at", F.monotonically_increasing_id())

@@ -60,9 +60,12 @@ def fit_clusters(
     seed: int = 0,
     max_iter: int = 20,
     standardize: bool = True,
+    init: str = "parallel",
 ) -> Clusters:
     """K-means over event locations.
 
+    ``init`` is ``parallel`` (sampled starts) or ``furthest`` (see ``furthest_starts``).
+
     Events at one place collapse to a single weighted point first, so a place that
     holds a large share of the events costs no more than any other. The points are
     written once, so raw events are scanned once however many rounds follow. A
@@ -86,6 +89,17 @@ def fit_clusters(
     shifted = points.select(
         *[((F.col(c) - facts[f"mid_{c}"]) / scale[c]).alias(c) for c in varying], "weight"
     )
+    if init == "furthest":
+        place = points.select(
+            *[((F.col(c) - facts[f"mid_{c}"]) / scale[c] if c in varying else F.lit(0.0)).alias(c) for c in AXES], "weight"
+        )
+        place = materialize(place)
+        found = settle(place, furthest_starts(place, k, seed), max_iter)
+        mids = [facts[f"mid_{c}"] if c in varying else fixed[c] for c in AXES]
+        sizes = (float(scale[AXES[0]]), float(scale[AXES[1]]))
+        return Clusters([(x * sizes[0] + mids[0], y * sizes[1] + mids[1]) for x, y in found], sizes)
+    if init != "parallel":
+        raise ValueError(f"init is parallel or furthest: {init}")
     packed = VectorAssembler(inputCols=varying, outputCol="features").transform(shifted)
     model = KMeans(k=k, seed=seed, maxIter=max_iter, weightCol="weight").fit(packed)
     centres = []
@@ -107,6 +121,65 @@ def _weighted(c: str, n: Column) -> list[Column]:
     ]
 
 
+def furthest_starts(points: DataFrame, k: int, seed: int = 0) -> list[tuple[float, float]]:
+    """Up to ``k`` points, each the furthest from those chosen before it; fewer where there are fewer distinct ones.
+
+    The first is the one with the smallest seeded hash; equally far points go by their coordinates. Each round is one
+    aggregation over the points, which only sends the best point of every task.
+    """
+    first = F.struct(F.xxhash64(F.lit(seed), *AXES).alias("h"), *AXES)
+    start = points.agg(F.min(first).alias("x")).select("x.*").head()
+    if start.h is None:
+        return []
+    chosen = [(start[AXES[0]], start[AXES[1]])]
+    while len(chosen) < k:
+        far = F.struct(gap_to(chosen).alias("gap"), *[(-F.col(c)).alias(c) for c in AXES])
+        best = points.agg(F.max(far).alias("x")).select("x.*").head()
+        if best.gap <= 0:
+            break
+        chosen.append((0.0 - best[AXES[0]], 0.0 - best[AXES[1]]))
+    return chosen
+
+
+def gap_to(centres: Sequence[tuple[float, float]]) -> Column:
+    """Squared distance of a point to the nearest centre."""
+    known = np.asarray(centres, dtype=float)
+    rows = max(1, DISTANCES_AT_ONCE // len(known))
+
+    @F.arrow_udf("double")
+    def gap(longitude: pa.Array, latitude: pa.Array) -> pa.Array:
+        x, y = (v.to_numpy(zero_copy_only=False) for v in (longitude, latitude))
+        out = np.empty(len(x))
+        for at in range(0, len(x), rows):
+            dx = x[at : at + rows, None] - known[None, :, 0]
+            dy = y[at : at + rows, None] - known[None, :, 1]
+            out[at : at + rows] = (dx * dx + dy * dy).min(axis=1)
+        return pa.array(out)
+
+    return gap(*AXES)
+
+
+def settle(
+    points: DataFrame, starts: Sequence[tuple[float, float]], max_iter: int, tolerance: float = 1e-9
+) -> list[tuple[float, float]]:
+    """Centres after moving each to the weighted mean of the points nearest to it, until none moves further than ``tolerance``.
+
+    A centre without points stays. A round sends one row for each task and centre.
+    """
+    centres = [tuple(map(float, c)) for c in starts]
+    weight = F.sum("weight")
+    for _ in range(max_iter):
+        near = points.withColumn("cluster", nearest_cluster(centres)).groupBy("cluster")
+        means = near.agg(*[(F.sum(F.col("weight") * F.col(c)) / weight).alias(c) for c in AXES])
+        moved = {r.cluster: (r[AXES[0]], r[AXES[1]]) for r in means.collect()}
+        new = [moved.get(i, c) for i, c in enumerate(centres)]
+        shift = max((a - c) ** 2 + (b - d) ** 2 for (a, b), (c, d) in zip(new, centres))
+        centres = new
+        if shift <= tolerance * tolerance:
+            break
+    return centres
+
+
 def nearest_cluster(clusters: Clusters | Sequence[tuple[float, float]]) -> Column:
     """Number of the nearest centre, the lower one on a tie, null without a location.
 

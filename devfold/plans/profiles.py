@@ -95,14 +95,20 @@ class Profiles:
     def empty(self, attrs: DataFrame) -> DataFrame:
         return population.empty_profile(attrs, self.sources.events)
 
+    def scaled(self, attrs: DataFrame, factors: DataFrame) -> DataFrame:
+        """:meth:`all` with each column divided by its factor."""
+        return features.attach_scaled_blocks(attrs, factors, *self._blocks())
+
     def all(self, attrs: DataFrame) -> DataFrame:
-        return features.attach_blocks(
-            attrs,
+        return features.attach_blocks(attrs, *self._blocks())
+
+    def _blocks(self) -> list[features.Block]:
+        return [
             labels.label_block(self.label_counts, self.space.labels),
             timeofday.time_block(self.slice_counts, self.space.slices),
             *location.total_blocks(self.totals),
             location.cluster_block(self.cluster_counts, self.space.clusters),
-        )
+        ]
 
     @cached_property
     def _long(self) -> DataFrame:
@@ -116,21 +122,20 @@ class Profiles:
         """All blocks in long form, written once: factors and values are both read from it."""
         return self._long
 
-    def model_frames(self) -> tuple[DataFrame, DataFrame]:
-        """Train and test vectors, missing blocks filled with the training means.
+    def model_frames(self, active: bool = False) -> tuple[DataFrame, DataFrame]:
+        """Train and test vectors, of devices with activity only if wanted; missing blocks have the means of those training rows.
 
         Written once: every fit below reads its columns several times.
         """
-        vectors = materialize(
-            profile_vectors(
-                self.people,
-                self.label_counts,
-                self.slice_counts,
-                self.totals,
-                self.cluster_counts,
-                self.space,
-            )
+        vectors = profile_vectors(
+            self.people,
+            self.label_counts,
+            self.slice_counts,
+            self.totals,
+            self.cluster_counts,
+            self.space,
         )
+        vectors = materialize(population.active_devices(vectors, self.slice_counts) if active else vectors)
         train, test = vectors.where("grp is not null"), vectors.where("grp is null")
         means = block_means(train)
         return fill_blocks(train, means), fill_blocks(test, means)

@@ -13,6 +13,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from devfold.models import fit, scoring, split, stacking
+from devfold.models.network import Training
 from devfold.models.vectors import block_means, fill_blocks, profile_vectors
 from devfold.operators import attributes, features, labels, leak, location, population, timeofday
 from devfold.schemas import CLASSES, FeatureSpace
@@ -36,8 +37,10 @@ class Run:
     classes: tuple[str, ...] = tuple(CLASSES)
     forests: dict[str, fit.Forest] = field(default_factory=lambda: dict(fit.FORESTS))
     networks: dict[str, fit.Network] = field(default_factory=lambda: dict(fit.NETWORKS))
+    trainings: dict[str, Training] = field(default_factory=lambda: dict(fit.TRAININGS))
     folds: int = 3
-    age_trees: int = 50
+    #: Boosted trees of the age model; without a number it is a network.
+    age_trees: int | None = None
     seed: int = 17
 
     # -- files -------------------------------------------------------------------
@@ -125,8 +128,8 @@ class Run:
             location.cluster_block(self.load("cluster_counts"), self.space.clusters),
         ]
         for part in PARTS:
-            wide = features.attach_blocks(self.load(f"attributes_{part}"), *blocks)
-            self.export(features.scale_wide(wide, factors), f"all_{part}")
+            wide = features.attach_scaled_blocks(self.load(f"attributes_{part}"), factors, *blocks)
+            self.export(wide, f"all_{part}")
 
     def normalization(self) -> None:
         """Label statistics of the training devices, and the labels that never vary."""
@@ -154,9 +157,12 @@ class Run:
             self.space,
         )
 
-    def _frames(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        """Train, validation and test vectors; means come from the training rows alone."""
-        known, test = (materialize(self._vectors(part)) for part in PARTS)
+    def _frames(self, active: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Train, validation and test vectors, of devices with activity only if wanted; means come from those training rows alone."""
+        parts = [self._vectors(part) for part in PARTS]
+        if active:
+            parts = [population.active_devices(df, self.load("slice_counts")) for df in parts]
+        known, test = map(materialize, parts)
         train, valid = split.hash_split(known, 0.9, self.seed)
         means = block_means(train)
         return fill_blocks(train, means), fill_blocks(valid, means), fill_blocks(test, means)
@@ -171,8 +177,7 @@ class Run:
 
     def model_full(self) -> None:
         """Perceptron on attributes, labels and time of day, for the devices with activity."""
-        counts = self.load("slice_counts")
-        train, valid, test = (population.active_devices(df, counts) for df in self._frames())
+        train, valid, test = self._frames(active=True)
         size = self.networks["full"]
         model = fit.fit_mlp(train, fit.FULL_INPUTS, self.classes, size, self.seed)
         self.save(model, "full")
@@ -191,25 +196,39 @@ class Run:
         self._publish(model, valid, test, "empty")
 
     def model_all(self) -> None:
-        """Perceptron on everything but the clusters."""
+        """Network with dropout on everything but the clusters, stopped on the validation devices; its losses are a table."""
         train, valid, test = self._frames()
-        size = self.networks["all"]
-        model = fit.fit_mlp(train, fit.ALL_INPUTS, self.classes, size, self.seed)
+        size, how = self.networks["all"], self.trainings["all"]
+        model = fit.fit_network(train, fit.ALL_INPUTS, self.classes, size, self.seed, how=how, valid=valid)
         self.save(model, "all")
+        self.export(fit.loss_curve(model, train), "losses_all")
         self._publish(model, valid, test, "all")
 
+    def model_bayes(self) -> None:
+        """Gaussian naive Bayes on attributes and labels."""
+        train, valid, test = self._frames()
+        model = fit.fit_naive_bayes(train, fit.BASE_INPUTS, self.classes)
+        self.save(model, "bayes")
+        self._publish(model, valid, test, "bayes")
+
     def model_stacked(self) -> None:
         """Age and gender first, then the group with both as inputs."""
         train, valid, test = self._frames()
-        person = self.networks["person"]
+        person, how = self.networks["person"], self.trainings["person"]
+
+        def age(df: DataFrame) -> PipelineModel:
+            if self.age_trees is not None:
+                return fit.fit_age(df, trees=self.age_trees, seed=self.seed)
+            return fit.fit_age_network(df, size=person, seed=self.seed, how=how)
+
         model = stacking.fit_stacked(
             train,
             self.classes,
             self.folds,
             self.seed,
             self.networks["stacked"],
-            age_fit=lambda df: fit.fit_age(df, trees=self.age_trees, seed=self.seed),
-            gender_fit=lambda df: fit.fit_gender(df, size=person, seed=self.seed),
+            age_fit=age,
+            gender_fit=lambda df: fit.fit_gender_network(df, size=person, seed=self.seed, how=how),
         )
         model.save(f"{self.outputs}/models/stacked")
         self._publish(model, valid, test, "stacked")
@@ -223,6 +242,7 @@ STAGES: dict[str, Callable[[Run], None]] = {
     "merge_all": Run.merge_all,
     "normalization": Run.normalization,
     "leak": Run.leak,
+    "model_bayes": Run.model_bayes,
     "model_full": Run.model_full,
     "model_empty": Run.model_empty,
     "model_all": Run.model_all,

@@ -298,6 +298,23 @@ def oracles() -> dict[str, str]:
             LEFT JOIN (SELECT device_id, min(event_id) AS event FROM activity GROUP BY device_id)
             USING (device_id)
             ORDER BY phone_brand, device_model, device_id""",
+        "leak_positions": """
+            SELECT device_id, phone_brand, device_model, gender, age, grp, event,
+                   row_number() OVER (ORDER BY phone_brand NULLS FIRST, device_model NULLS FIRST, device_id NULLS FIRST) AS position
+            FROM (SELECT * FROM train UNION SELECT device_id, NULL, NULL, NULL FROM test)
+            JOIN phones USING (device_id)
+            LEFT JOIN (SELECT device_id, min(event_id) AS event FROM activity GROUP BY device_id)
+            USING (device_id)""",
+        "level_codes": """
+            SELECT CAST(device_id AS VARCHAR) AS level,
+                   CAST(row_number() OVER (ORDER BY CAST(device_id AS VARCHAR)) - 1 AS DOUBLE) AS code
+            FROM devices""",
+        "furthest_check": """
+            SELECT least(20, count(DISTINCT (longitude, latitude))) AS n_starts, TRUE AS covered FROM activity""",
+        "fit_inputs": """
+            SELECT feature FROM label_long JOIN train USING (device_id) GROUP BY feature
+            HAVING min(value) <> max(value)
+                OR count(*) < (SELECT count(DISTINCT device_id) FROM label_long JOIN train USING (device_id))""",
         "feature_stats": f"SELECT feature, min, max, round(mean, {DIGITS}) AS mean FROM label_stats",
         "constant_features": "SELECT * FROM constants",
         "drop_constant": """
@@ -360,7 +377,7 @@ def oracles() -> dict[str, str]:
             FROM (VALUES (5, 3), (5, 5), (10, 3), (10, 5)) AS v(t, d)""",
         **{
             f"{name}_totals": "SELECT device_id, CAST(1 AS DOUBLE) AS total FROM test JOIN phones USING (device_id)"
-            for name in ("nb", "forest", "mlp", "stacked", "submission")
+            for name in ("nb", "forest", "mlp", "stacked", "submission", "network")
         },
         "full_totals": """
             SELECT device_id, CAST(1 AS DOUBLE) AS total FROM test JOIN phones USING (device_id)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -122,6 +124,12 @@ def index_categories(r: Roles) -> DataFrame:
     return coded.select("device_id", *columns, *[f"{c}_idx" for c in columns])
 
 
+@query("level_codes")
+def level_codes(r: Roles) -> DataFrame:
+    """Codes of a column in which every row is a level of its own."""
+    return features.level_codes(r.devices(), "device_id")
+
+
 # -- time of day ---------------------------------------------------------------
 
 
@@ -330,6 +338,25 @@ def kmeans_clusters(r: Roles) -> DataFrame:
     return found.table(r.spark).join(sizes, "cluster", "left")
 
 
+@query("furthest_check")
+def furthest_check(r: Roles) -> DataFrame:
+    """Starts that are the furthest from each other: no two are nearer than any place is to them."""
+    events = r.events().where("longitude is not null and latitude is not null")
+    points = materialize(events.groupBy(*location.AXES).agg(F.count(F.lit(1)).cast("double").alias("weight")))
+    starts = location.furthest_starts(points, 20, 7)
+    apart = min((a - c) ** 2 + (b - d) ** 2 for i, (a, b) in enumerate(starts) for c, d in starts[:i])
+    gap = points.agg(F.max(location.gap_to(starts))).scalar()
+    return r.spark.range(1).select(F.lit(len(starts)).cast("long").alias("n_starts"), (gap <= apart).alias("covered"))
+
+
+@query("furthest_clusters")
+def furthest_clusters(r: Roles) -> DataFrame:
+    """The second setting: 100 clusters from the furthest starts, 1,000 rounds at most, in plain degrees."""
+    found = location.fit_clusters(r.events(), 100, 7, 1000, standardize=False, init="furthest")
+    sizes = location.assign_clusters(r.events(), found).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+    return found.table(r.spark).join(sizes, "cluster", "left")
+
+
 # -- leak study --------------------------------------------------------------------
 
 
@@ -348,6 +375,11 @@ def leak_table(r: Roles) -> DataFrame:
     return leak.leak_table(r.train(), r.test(), r.phones(), r.events())
 
 
+@query("leak_positions")
+def leak_positions(r: Roles) -> DataFrame:
+    return leak.leak_positions(r.train(), r.test(), r.phones(), r.events())
+
+
 # -- feature statistics and scaling -------------------------------------------------
 
 
@@ -393,8 +425,7 @@ def scaled_features(r: Roles) -> DataFrame:
 @query("scaled_profile")
 def scaled_profile(r: Roles) -> DataFrame:
     p = profiles(r)
-    wide = features.scale_wide(p.all(p.people), _factors(r, p.long()))
-    return rounded(wide, *SPACE.names)
+    return rounded(p.scaled(p.people, _factors(r, p.long())), *SPACE.names)
 
 
 def _device_totals(r: Roles) -> DataFrame:
@@ -492,6 +523,46 @@ def mlp_scores(r: Roles) -> DataFrame:
     return scoring.submission(model, test, GROUPS)
 
 
+#: Registered networks have all their layers and end after this many epochs without gain.
+PERSON = replace(fit.TRAININGS["person"], patience=8)
+
+
+def _network(train: DataFrame) -> PipelineModel:
+    return fit.fit_network(train, fit.ALL_INPUTS, GROUPS, fit.NETWORKS["all"], seed=7)
+
+
+@query("network_scores")
+def network_scores(r: Roles) -> DataFrame:
+    """Six layers of 64 with dropout and penalties, at most 500 epochs, stopped after 42 without gain."""
+    train, test = profiles(r).model_frames()
+    return scoring.submission(_network(train), test, GROUPS)
+
+
+@query("network_curve")
+def network_curve(r: Roles) -> DataFrame:
+    train, _ = profiles(r).model_frames()
+    return fit.loss_curve(_network(train), train)
+
+
+@query("age_scores")
+def age_scores(r: Roles) -> DataFrame:
+    """Ages by three layers of 64."""
+    train, test = profiles(r).model_frames()
+    model = fit.fit_age_network(train, seed=7)
+    cast = test.withColumns({c: F.col(c).cast("double") for c in fit.PERSON_INPUTS.numbers})
+    return model.transform(cast).select("device_id", "age_prediction")
+
+
+@query("fit_inputs")
+def fit_inputs(r: Roles) -> DataFrame:
+    """The labels that a fit takes as inputs: those that vary over its training rows."""
+    train, _ = profiles(r).model_frames()
+    inputs = fit.Inputs(("labels",), (), ())
+    stages = fit.feature_stages(inputs)
+    names = fit.fitted_names(Pipeline(stages=stages).fit(train), inputs, SPACE)
+    return features.vocabulary(r.spark, names)
+
+
 def _stacked(train: DataFrame) -> stacking.StackedModel:
     return stacking.fit_stacked(
         train,
@@ -499,7 +570,7 @@ def _stacked(train: DataFrame) -> stacking.StackedModel:
         folds=2,
         seed=7,
         size=fit.Network((8,), 20),
-        age_fit=lambda df: fit.fit_age(df, trees=5, depth=3, seed=7),
+        age_fit=lambda df: fit.fit_age_network(df, seed=7, how=PERSON),
         gender_fit=lambda df: fit.fit_gender(df, size=fit.Network((8,), 20), seed=7),
     )
 
@@ -527,8 +598,7 @@ def grid_search(r: Roles) -> DataFrame:
 
 def _full_scores(r: Roles) -> DataFrame:
     """Devices with activity, on attributes, labels and time of day."""
-    p = profiles(r)
-    train, test = (population.active_devices(df, p.slice_counts) for df in p.model_frames())
+    train, test = profiles(r).model_frames(active=True)
     model = fit.fit_mlp(train, fit.FULL_INPUTS, GROUPS, fit.Network((16, 8), 30), seed=7)
     return scoring.submission(model, test, GROUPS)
 
@@ -553,7 +623,7 @@ def _totals(scores: DataFrame) -> DataFrame:
 
 for _name, _scores in [
     ("nb", nb_scores), ("forest", forest_scores), ("mlp", mlp_scores), ("stacked", stacked_scores),
-    ("submission", submission), ("full", _full_scores),
+    ("submission", submission), ("full", _full_scores), ("network", network_scores),
 ]:
     query(f"{_name}_totals")(lambda r, scores=_scores: _totals(scores(r)))
 

@@ -227,8 +227,6 @@ def test_scale_factors(spark):
     assert rows(scaled) == {("a", None), ("d", 2.0)}
     unknown = features.apply_scale(_long(spark, [(1, "labels", "new", 6.0)]), factors)
     assert rows(unknown.select("feature", "value")) == {("new", 6.0)}
-    wide = spark.createDataFrame([(1, 0, 6)], "device_id long, a long, d long")
-    assert rows(features.scale_wide(wide, factors)) == {(1, None, 2.0)}
 
 
 def test_statistics_count_absent_as_zero(spark):

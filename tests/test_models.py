@@ -220,3 +220,17 @@ def test_assignment_ties_and_gaps(spark):
     df = spark.createDataFrame([(1.0, 0.0), (9.0, 0.0), (None, 1.0)], "longitude double, latitude double")
     found = location.assign_clusters(df, [(0.0, 0.0), (2.0, 0.0)]).collect()
     assert [r.cluster for r in found] == [0, 1, None]
+
+
+def test_naive_bayes_of_absent_classes(spark, frames, tmp_path):
+    """Classes without a training row get a column of zeros, and the others keep their places."""
+    _, filled, _ = frames
+    many = ["A", CLASSES[0], "B", CLASSES[2], CLASSES[1]]
+    few = scoring.submission(fit.fit_naive_bayes(filled, fit.BASE_INPUTS, CLASSES), filled, CLASSES)
+    model = load_model(save_model(fit.fit_naive_bayes(filled, fit.BASE_INPUTS, many), str(tmp_path / "nb")))
+    got = scoring.submission(model, filled, many)
+    assert got.where("A <> 0 or B <> 0").count() == 0
+    one, two = ({r.device_id: [round(r[c], 9) for c in CLASSES] for r in df.collect()} for df in (few, got))
+    assert one == two
+    best = model.transform(filled).where(F.get(F.lit(many), F.col("prediction").cast("int")) != F.col("grp"))
+    assert best.count() < 30

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import pytest
 
 from devfold.models import fit
@@ -46,10 +48,17 @@ def test_feature_stages(spark, run):
 
 @pytest.fixture(scope="module")
 def populated(spark, run, tmp_path_factory):
-    """The fixture repeated under many ids, so models have something to fit."""
+    """The fixture with a test device that has activity (5) beside the one without (4), repeated under many ids."""
     folder = tmp_path_factory.mktemp("many")
+    more = {
+        "gender_age_test": ["5L as device_id"],
+        "phone_brand_device_model": ["5L as device_id", "'B' as phone_brand", "'b1' as device_model"],
+        "events": ["6L as event_id", "5L as device_id", "timestamp_ntz'2016-05-01 10:00:00' as ts", "1.5D as longitude", "2.5D as latitude"],
+    }
     for name in ROWS:
         df = read_table(spark, f"{run.inputs}/{name}.csv", name)
+        if name in more:
+            df = df.unionByName(spark.range(1).selectExpr(*more[name]))
         if "device_id" in df.columns or "event_id" in df.columns:
             shift = [f"{c} + n * 1000 as {c}" if c in ("device_id", "event_id") else c for c in df.columns]
             df = df.crossJoin(spark.range(25).withColumnRenamed("id", "n")).selectExpr(*shift)
@@ -62,19 +71,27 @@ def populated(spark, run, tmp_path_factory):
         forests={"empty": fit.Forest(3, 3)},
         networks={k: fit.Network((4,), 5) for k in fit.NETWORKS},
         folds=2,
-        age_trees=2,
     )
 
 
 def test_model_stages(spark, populated):
     for name in ("time_events", "cluster_events", "munge"):
         STAGES[name](populated)
-    for name in ("full", "empty", "all", "stacked"):
+    scored = {"full": {5}, "empty": {4}, "all": {4, 5}, "stacked": {4, 5}, "bayes": {4, 5}}
+    for name, devices in scored.items():
         STAGES[f"model_{name}"](populated)
         found = spark.read.csv(f"{populated.outputs}/submit_{name}", header=True, inferSchema=True)
         assert found.columns == ["device_id", *populated.classes]
-        assert found.count() == 25
+        ids = [r.device_id for r in found.select("device_id").collect()]
+        assert len(ids) == 25 * len(devices) and {i % 1000 for i in ids} == devices
         assert spark.read.csv(f"{populated.outputs}/quality_{name}", header=True).count() == 1
+    assert spark.read.csv(f"{populated.outputs}/losses_all", header=True).count() == 6
+
+
+def test_trees_stay_an_option_for_the_age(spark, populated):
+    run = replace(populated, age_trees=2)
+    STAGES["model_stacked"](run)
+    assert spark.read.csv(f"{run.outputs}/submit_stacked", header=True).count() == 50
 
 
 def test_csv_is_written_with_a_header(spark, tmp_path, tables):
