@@ -57,6 +57,8 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPAC
                 names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"],
             )
             release()
+        encoder.forget()  # the worker goes on to other stages and must not take the table along
+        release()
 
     return id_and_text(docs).mapInArrow(cut, PIECES)
 

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from devfold.llm import words as W
-from devfold.llm.common import free_name, id_and_text, release, small_batches, written
+from devfold.llm.common import BATCH_BYTES, free_name, id_and_text, release, small_batches, written
 from devfold.llm.jaccard import bucketed
 from devfold.llm.substrings import squeeze, unsqueeze
 
@@ -290,7 +290,7 @@ def occurrences(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return docs.mapInArrow(find, "doc_id long, row_key long, term long, start int, end int, shape string")
 
 
-def find_personal(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, least: float = GENERALISE, everywhere: bool = False) -> DataFrame:
+def find_personal(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, least: float = GENERALISE, everywhere: bool = False, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """Finds of every row: counts per kind, base digest, all spans, and terms to generalise or remove.
 
     ``spans`` holds the pattern finds and the revealing terms as ``kind:start:end`` in code
@@ -300,7 +300,7 @@ def find_personal(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, l
     A null or empty text has none. Rows are judged one by one; rows alike in id and text get
     the same answer. Empty tables give no row; only ``doc_id`` and ``text`` are read.
     """
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, batch_bytes)
     rows = id_and_text(docs).withColumn("row_key", _row_key())
     found = written(scan(rows, reach))
     risky = disclosures(found, rows, support, least)
@@ -329,7 +329,8 @@ def sanitised(docs: DataFrame, remove: float = REMOVE, **options: object) -> Dat
     names = docs.columns
     at = names.index("text")
     own, key, spans, terms = (free_name(docs, x) for x in ("_id", "_key", "_spans", "_terms"))
-    finds = find_personal(docs, everywhere=True, **options).where("spans <> ''").select(F.col("doc_id").alias(own), F.col("row_key").alias(key), F.col("spans").alias(spans), F.col("terms").alias(terms)).dropDuplicates([own, key])
+    # smaller batches: the workers hold what other stages left in them
+    finds = find_personal(docs, everywhere=True, **{"batch_bytes": BATCH_BYTES // 3} | options).where("spans <> ''").select(F.col("doc_id").alias(own), F.col("row_key").alias(key), F.col("spans").alias(spans), F.col("terms").alias(terms)).dropDuplicates([own, key])
     same = F.col("doc_id").cast("long").eqNullSafe(F.col(own)) & (_row_key() == F.col(key))
     joined = docs.join(finds, same, "left").select(*names, spans, terms)
 
