@@ -16,6 +16,8 @@ _LIBC = ctypes.CDLL(None)
 #: Rows and bytes in one Arrow batch. Texts are long, so Spark's default number of rows is too many.
 BATCH_ROWS = 5000
 BATCH_BYTES = 6 << 20
+#: Bytes in one batch where stages follow each other in the same workers, which hold what earlier ones left.
+STAGE_BATCH_BYTES = 2 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

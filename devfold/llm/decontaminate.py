@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from devfold.llm import words as W
-from devfold.llm.common import release, small_batches
+from devfold.llm.common import STAGE_BATCH_BYTES, release, small_batches
 from devfold.llm.jaccard import shingle_sets
 
 WIDTH, SHARE = 5, 80
@@ -159,7 +159,7 @@ def contained(docs: DataFrame, items: DataFrame, width: int = WIDTH, share: int
 
 def without_items(docs: DataFrame, items: DataFrame, width: int = WIDTH, share: int = SHARE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Documents that contain no item; all columns stay. Same rules as :func:`contained`."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, STAGE_BATCH_BYTES)
     at = docs.columns.index("text")
 
     def keeper(index: Index):

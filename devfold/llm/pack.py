@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from devfold.llm import encode
-from devfold.llm.common import id_and_text, release, small_batches, written
+from devfold.llm.common import BATCH_BYTES, id_and_text, release, small_batches, written
 
 CAPACITY = 4096
 END_ID = 2
@@ -30,14 +30,14 @@ RANKED = 20_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
-def pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """Every document's ids in pieces of at most ``capacity``, with the crc32 of each piece.
 
     A null or empty text is the end id alone. Null and repeated ids stay as they are:
     each row is a document of its own. Only ``doc_id`` and ``text`` are read.
     """
     path = vocabulary or encode.vocabulary()
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, batch_bytes)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encode.encoder(path)
@@ -120,12 +120,12 @@ def ranked(parts: DataFrame, total: int) -> DataFrame:
     return numbered.join(sizes, ["length", "_bucket"]).withColumn("_rank", F.col("_at") + F.col("_base"))
 
 
-def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """Place of every piece: ``sequence_id`` and ``offset`` beside the columns of :func:`pieces`.
 
     Sequences are gapless from offset 0. An empty table gives no row.
     """
-    parts = written(pieces(docs, vocabulary, capacity, end_id))
+    parts = written(pieces(docs, vocabulary, capacity, end_id, batch_bytes))
     histogram = {r["length"]: r["n"] for r in parts.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     table = places(shortest_pack_first(histogram, capacity))
     length, first, sequence, times, offset = table.T.copy()

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from devfold.llm import words as W
-from devfold.llm.common import BATCH_BYTES, free_name, id_and_text, release, small_batches, written
+from devfold.llm.common import BATCH_BYTES, STAGE_BATCH_BYTES, free_name, id_and_text, release, small_batches, written
 from devfold.llm.jaccard import bucketed
 from devfold.llm.substrings import squeeze, unsqueeze
 
@@ -330,7 +330,7 @@ def sanitised(docs: DataFrame, remove: float = REMOVE, **options: object) -> Dat
     at = names.index("text")
     own, key, spans, terms = (free_name(docs, x) for x in ("_id", "_key", "_spans", "_terms"))
     # smaller batches: the workers hold what other stages left in them
-    finds = find_personal(docs, everywhere=True, **{"batch_bytes": BATCH_BYTES // 3} | options).where("spans <> ''").select(F.col("doc_id").alias(own), F.col("row_key").alias(key), F.col("spans").alias(spans), F.col("terms").alias(terms)).dropDuplicates([own, key])
+    finds = find_personal(docs, everywhere=True, **{"batch_bytes": STAGE_BATCH_BYTES} | options).where("spans <> ''").select(F.col("doc_id").alias(own), F.col("row_key").alias(key), F.col("spans").alias(spans), F.col("terms").alias(terms)).dropDuplicates([own, key])
     same = F.col("doc_id").cast("long").eqNullSafe(F.col(own)) & (_row_key() == F.col(key))
     joined = docs.join(finds, same, "left").select(*names, spans, terms)
 

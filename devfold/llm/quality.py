@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from devfold.llm import encode
 from devfold.llm import words as W
-from devfold.llm.common import release, small_batches
+from devfold.llm.common import STAGE_BATCH_BYTES, release, small_batches
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
@@ -240,7 +240,7 @@ def judged(docs: DataFrame, bands: dict[str, Band] | None = None, widest: Band =
 
 def kept(docs: DataFrame, bands: dict[str, Band] | None = None, widest: Band = WIDEST, word_vocabulary: str | None = None, piece_vocabulary: str | None = None) -> DataFrame:
     """The rows that :func:`judged` keeps, with all their columns."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, STAGE_BATCH_BYTES)
     files, own = _files(word_vocabulary, piece_vocabulary), BANDS if bands is None else bands
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
