@@ -1,9 +1,10 @@
 """N-gram Jaccard join: components of documents whose shingle sets nearly agree.
 
 Two sets that link differ in few elements, so of ``d + 1`` hash segments one is equal in
-both. Documents that share a segment's signature are joined into coarse components (a
-superset of the links, exact in that it loses none). Shingles that a bounded sample shows to be
-common are left out of all signatures alike: that loses no link either, and keeps passages that
+both. Larger sets get fewer segments, of which some are equal in both but for a chance of ``exp(-30)``,
+and only those with several elements count. Documents that share a segment's signature are joined into coarse components (a
+superset of the links). Shingles that a bounded sample shows to be common are left out of the
+signatures where enough others remain: that loses no link either, and keeps passages that
 many documents share from joining them. The sets of a coarse component then
 meet in blocks, where a prefix tree finds the links. Exact copies stand for one set. A
 component too large for one block is cut by set size; its parts are joined through
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +35,8 @@ BLOCK_BYTES, BUCKET_BYTES = 8 << 20, 4 << 20
 BROADCAST_ROWS = 1_000_000
 #: Bytes of a signature that travel beside its bucket; equal by chance, they only widen a coarse component.
 KEY_BYTES = 5
+#: Common segments that linked large sets have on average at the least, and elements that make a segment count at most.
+EXPECTED, MOST_ELEMENTS = 30, 8
 #: Documents sampled to find common shingles, and distinct sampled texts that make one common.
 SAMPLE, COMMON = 4000, 8
 
@@ -81,36 +85,75 @@ def segments(classes: np.ndarray, share: int) -> tuple[np.ndarray, np.ndarray]:
     return (apart + spare).astype(np.int64), spare.astype(np.int64)
 
 
-def signatures(keys: np.ndarray, bounds: np.ndarray, share: int = SHARE, whole: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Signatures of all segments of each set, under its own size class and the next; and the set of each.
+def _segment_sums(keys: np.ndarray, bounds: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sums over the ``count`` segments of each set in a row, the elements that fell there, the set and the segment's number in it."""
+    text = np.repeat(np.arange(len(count)), np.diff(bounds))
+    keys, text = keys[count[text] > 0], text[count[text] > 0]
+    ends = np.cumsum(count)
+    slot = (ends - count)[text] + (((keys >> np.uint64(32)) * count[text].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
+    sums = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint64)
+    held = np.bincount(slot, minlength=len(sums))
+    if len(slot):
+        first = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))
+        sums[slot[first]] = np.add.reduceat(W.mix(keys), first)
+    owner = np.repeat(np.arange(len(count)), count)
+    return sums, held, owner, np.arange(len(owner)) - np.repeat(ends - count, count)
 
-    ``whole`` gives full sizes where elements that all sets agree to ignore are left out.
+
+def expected(sizes: np.ndarray, counted: np.ndarray, number: np.ndarray, least: np.ndarray, share: int) -> np.ndarray:
+    """Segments that a set has in common with any set it links with, and that hold ``least`` elements, at the least expected.
+
+    A linked set differs in at most ``(100 / share - 1) * size`` elements and lacks at most ``(1 - share / 100) * size`` of the
+    ``counted`` ones; elements fall into the ``number`` segments by their hash.
+    """
+    held = np.maximum(counted - sizes * (1 - share / 100), 0) / number
+    fewer = sum(np.where(k < least, held**k / math.factorial(k), 0) for k in range(MOST_ELEMENTS))
+    return number * np.exp(-sizes * (100 / share - 1) / number) * (1 - np.exp(-held) * fewer)
+
+
+@lru_cache(maxsize=None)
+def layout(size: int, share: int) -> tuple[int, int, int]:
+    """Number of segments for sets of a size class, how many may be empty, and the elements that make one count.
+
+    Sets large enough get few and full segments: as many as leave ``EXPECTED`` common ones of two elements or more,
+    so that a link goes unseen with a chance below ``exp(-EXPECTED)``. Smaller sets get so many that none can.
+    """
+    most = math.ceil((100 / share) ** (size + 1.0)) + 1
+    ends = np.array([[most * (share / 100) ** 2], [most]])
+    numbers = np.unique(np.geomspace(4, max(5, most), 400).astype(np.int64))
+    for least in range(MOST_ELEMENTS, 1, -1):
+        enough = (expected(ends, ends, numbers, np.int64(least), share) >= EXPECTED).all(0)
+        if enough.any():
+            return int(numbers[enough.argmax()]), 0, least
+    number, spare = segments(np.array([size]), share)
+    return int(number[0]), int(spare[0]), 1
+
+
+def signatures(keys: np.ndarray, bounds: np.ndarray, share: int = SHARE, rare: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of the segments of each set, under its own size class and the next; and the set of each.
+
+    ``rare`` marks the elements that count. A set that has too few of them to be sure of a common
+    segment also sends the segments of all its elements: of two linked sets
+    either one has enough of them, and that one's surety holds for both, or both send all.
     """
-    own_sizes = np.diff(bounds)
-    sizes = own_sizes if whole is None else whole
+    sizes = np.diff(bounds)
     out, owners = [], []
-    filled = np.flatnonzero(sizes)
-    text = np.repeat(np.arange(len(sizes)), own_sizes)
-    spread = W.mix(keys)
+    few = (keys, bounds) if rare is None else (keys[rare], np.concatenate([[0], np.cumsum(rare)])[bounds])
     for step in (0, 1):
         classes = size_class(sizes, share) + step
-        number_of, spare = segments(classes, share)
+        present, which = np.unique(classes, return_inverse=True)
+        number_of, spare, least = np.array([layout(int(c), share) for c in present], np.int64).reshape(-1, 3)[which].T
         count = np.where(sizes > 0, number_of, 0)
-        ends = np.cumsum(count)
-        slot = (ends - count)[text] + (((keys >> np.uint64(32)) * count[text].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
-        sums = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint64)
-        used = np.zeros(len(sums), bool)
-        if len(slot):
-            first = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))
-            sums[slot[first]] = np.add.reduceat(spread, first)
-            used[slot[first]] = True
-        owner = np.repeat(filled, count[filled])
-        number = np.arange(len(owner)) - np.repeat((ends - count)[filled], count[filled])
-        empty = count - np.bincount(owner, used, len(sizes)).astype(np.int64)
-        sent = used | (empty > spare)[owner]  # empty segments count only where a set has too many of them
-        owner, number = owner[sent], number[sent]
-        out.append(W.mix(sums[sent] + W.mix((classes[owner] * 2**32 + number).astype(np.uint64))))
-        owners.append(owner)
+        for whole, (elements, limits) in enumerate((few, (keys, bounds))):
+            sums, held, owner, number = _segment_sums(elements, limits, count)
+            too_empty = count - np.bincount(owner, held > 0, len(sizes)).astype(np.int64) > spare
+            unsure = np.where(least > 1, expected(sizes, np.diff(limits), number_of, least, share) < EXPECTED, too_empty) & (count > 0)
+            # empty segments count only where even all elements of a small set leave too many of them
+            sent = (held >= least[owner]) | ((whole == 1) & too_empty & (least == 1))[owner]
+            tag = classes[owner[sent]] * 2**32 + whole * 2**31 + number[sent]
+            out.append(W.mix(sums[sent] + W.mix(tag.astype(np.uint64))))
+            owners.append(owner[sent])
+            count = np.where(unsure, count, 0)
     return np.concatenate(out), np.concatenate(owners)
 
 
@@ -154,9 +197,7 @@ def coarse(docs: DataFrame, width: int = WIDTH, share: int = SHARE) -> DataFrame
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, bounds = shingle_sets(batch.column(1), width)
-            counted = ~np.isin(keys, ignored)
-            kept = np.concatenate([[0], np.cumsum(counted)])[bounds]
-            keys, owner = signatures(keys[counted], kept, share, np.diff(bounds))
+            keys, owner = signatures(keys, bounds, share, ~np.isin(keys, ignored))
             edges, keys, hubs = stars(keys, batch.column(0).to_numpy()[owner])
             order, bounds = bucketed(keys, buckets)
             keys, hubs = keys[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES], hubs[order]

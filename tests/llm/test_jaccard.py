@@ -146,6 +146,33 @@ def test_linked_sets_share_a_signature(size, seed):
         assert set(keys[owner == 0].tolist()) & set(keys[owner == 1].tolist())
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.integers(1, 6000), st.integers(0, 10**6), st.sampled_from([80, 90]), st.sampled_from([0, 0.1, 0.6, 0.95, 1]), st.sampled_from([0, 0.5, 1]))
+def test_linked_sets_share_a_signature_without_common_shingles(size, seed, share, ignored, lost):
+    """Sets as unlike as a link allows, losing, swapping or gaining elements, with a part of all elements ignored."""
+    rng = np.random.default_rng(seed)
+    one = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+    unlike = int(len(one) * (100 - share) / (100 if lost == 1 else share if lost == 0 else (100 + share) / 2))
+    cut = int(unlike * lost) if lost != 0.5 else int(len(one) * (100 - share) / (100 + share))
+    new = unlike - cut if lost != 0.5 else cut
+    two = np.unique(np.concatenate([rng.permutation(one)[cut:], rng.integers(0, 2**64, new, dtype=np.uint64)]))
+    overlap = len(np.intersect1d(one, two))
+    assert 100 * overlap >= share * (len(one) + len(two) - overlap)
+    both = np.concatenate([one, two])
+    rare = (both % np.uint64(100)) >= np.uint64(100 * ignored)
+    keys, owner = jaccard.signatures(both, np.array([0, len(one), len(one) + len(two)]), share, rare)
+    assert set(keys[owner == 0].tolist()) & set(keys[owner == 1].tolist())
+
+
+def test_large_sets_need_more_than_one_element_in_common():
+    """Unlike sets that share single elements everywhere have no signature in common."""
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 2**64, 5000, dtype=np.uint64)) for _ in range(2)]
+    sets[1] = np.unique(np.concatenate([sets[1][:4750], rng.choice(sets[0], 250, replace=False)]))
+    keys, owner = jaccard.signatures(np.concatenate(sets), np.cumsum([0, len(sets[0]), len(sets[1])]), 80)
+    assert not set(keys[owner == 0].tolist()) & set(keys[owner == 1].tolist())
+
+
 @pytest.mark.parametrize("task", [1_000_000, 50])
 @pytest.mark.parametrize("edges", [[], [(1, 1)], [(1, None)], [(i, i + 1) for i in range(300)], [(5, i) for i in range(6, 400)] + [(1000, 399), (2000, 2001)]])
 def test_components(spark, edges, task):
