@@ -149,3 +149,45 @@ def test_scaled_blocks(spark):
     got = features.attach_scaled_blocks(people, factors, Block(counts, "n", ["a", "b", "c"], "k", 1), Block(total, "allev", ["allev"]))
     assert got.columns == ["device_id", "brand", "a", "b", "c", "allev"]
     assert rows(got) == {(1, "x", 2.0, None, 0.5, 8.0), (2, "y", 0.0, None, 0.0, None), (3, "z", None, None, None, None)}
+
+
+def plain_rounds(points, centres, most):
+    """Centres moved to the weighted means of their points, one point at a time."""
+    for _ in range(most):
+        sums = {}
+        for x, y, w in points:
+            gap = [(x - a) ** 2 + (y - b) ** 2 for a, b in centres]
+            own = sums.setdefault(gap.index(min(gap)), [0.0, 0.0, 0.0])
+            for i, v in enumerate((w, w * x, w * y)):
+                own[i] += v
+        new = [(sums[i][1] / sums[i][0], sums[i][2] / sums[i][0]) if i in sums else c for i, c in enumerate(centres)]
+        shift, centres = max((a - c) ** 2 + (b - d) ** 2 for (a, b), (c, d) in zip(new, centres)), new
+        if shift <= 1e-18:
+            break
+    return centres
+
+
+def test_rounds_over_tiles_equal_plain_rounds(spark, monkeypatch):
+    """Tiles of a few points, points in one place and in a line, several tasks, a start that no point is near."""
+    rng = random.Random(11)
+    places = {(round(rng.gauss(0, 20), 1), round(rng.gauss(0, 8), 1)) for _ in range(700)} | {(float(i), 0.0) for i in range(90)}
+    points = [(x, y, float(rng.randrange(1, 9))) for x, y in sorted(places)]
+    df = spark.createDataFrame(points, "longitude double, latitude double, weight double").repartition(5)
+    monkeypatch.setattr(location, "TILE", 16)
+    monkeypatch.setattr(location, "TASK_TILES", 9)
+    starts = [*location.furthest_starts(df, 12, 3), (900.0, 900.0)]
+    assert starts[:12] == traversal([p[:2] for p in points], starts[0], 12)
+    for most in (1, 3, 1000):
+        assert np.allclose(location.settle(df, starts, most), plain_rounds(points, starts, most), atol=1e-9)
+    one = spark.createDataFrame([(2.0, 3.0, 4.0)], df.schema)
+    assert location.settle(one, [(0.0, 0.0), (5.0, 5.0)], 9) == [(2.0, 3.0), (5.0, 5.0)] and location.settle(one, [], 9) == []
+    assert location.settle(df.limit(0), [(1.0, 2.0)], 9) == [(1.0, 2.0)]
+
+
+def test_a_round_is_one_stage(spark):
+    """Hundreds of rounds: each is a job without a shuffle over tiles that were written once."""
+    df = spark.createDataFrame([(float(i % 7), float(i % 5), 1.0) for i in range(35)], "longitude double, latitude double, weight double")
+    tiles, tasks = location.tiled(df)
+    assert tasks == 1 and set(tiles.columns) == {"facts", "points"}
+    plan = tiles.coalesce(tasks).mapInArrow(location._tile_sums(np.zeros((2, 2))), "sums binary")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "HashAggregate" not in plan
