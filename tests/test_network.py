@@ -197,3 +197,37 @@ def test_halving_keeps_the_better_settings(spark, frames):  # noqa: F811
     assert _logloss(model, filled).logloss < 0.5
     with pytest.raises(ValueError, match="no setting"):
         fit.halving_search(filled, [])
+
+
+def test_blocks_are_the_rows(spark, monkeypatch):
+    """Blocks hold every row once; products with them equal those of the dense standardised rows."""
+    monkeypatch.setattr(network, "DENSE_ROWS", 7)
+    rng = np.random.default_rng(2)
+    fill, rows = rng.normal(size=30), []
+    for i in range(100):
+        x = np.where(rng.random(30) < 0.1, rng.normal(size=30), fill if i % 3 else 0.0)
+        rows.append((i, float(i % 2), i % 5 - 1, x.tolist()))
+    df = spark.createDataFrame(rows, "key long, y double, step int, a array<double>").select("key", "y", "step", array_to_vector("a").alias("features"))
+    usual = network.usual_vector(df)
+    assert (usual == fill).mean() > 0.9
+    table = df.select("key", "y", "step", F.unwrap_udt("features")).mapInArrow(network.blocks(usual), network.BLOCK).toArrow()
+    centre, scale, weights, seen = rng.normal(size=30), 1 + rng.random(30), rng.normal(size=(30, 4)), []
+    for batch in table.to_batches():
+        for i in range(batch.num_rows):
+            held, keys, y, x = network.unpacked(batch, i, usual, centre, scale)
+            seen += keys.tolist()
+            assert held == (rows[keys[0]][2] < 0) and {rows[k][2] for k in keys} == {rows[keys[0]][2]} and y.tolist() == [k % 2 for k in keys]
+            plain = (np.array([rows[k][3] for k in keys]) - centre) / scale
+            error = rng.normal(size=(len(keys), 4))
+            assert np.allclose(x @ weights, plain @ weights) and np.allclose(x.T @ error, plain.T @ error)
+            assert np.allclose(x * np.full(30, 2.0), 2 * plain)
+    assert sorted(seen) == list(range(100))
+
+
+def test_filled_rows_are_stored_as_few_differences(spark):
+    """Rows filled with the same thousand means: a block multiplies the columns that differ, not all."""
+    fill = np.linspace(1, 2, 1000)
+    rows = [(i, 1.0, 0, [float(i), *fill.tolist()]) for i in range(50)]
+    df = spark.createDataFrame(rows, "key long, y double, step int, a array<double>").select("key", "y", "step", array_to_vector("a").alias("features"))
+    table = df.select("key", "y", "step", F.unwrap_udt("features")).mapInArrow(network.blocks(network.usual_vector(df)), network.BLOCK).toArrow()
+    assert sum(len(x) for x in table["at"].to_pylist()) // 4 <= table.num_rows
