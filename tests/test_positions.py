@@ -191,3 +191,20 @@ def test_a_round_is_one_stage(spark):
     assert tasks == 1 and set(tiles.columns) == {"facts", "points"}
     plan = tiles.coalesce(tasks).mapInArrow(location._tile_sums(np.zeros((2, 2))), "sums binary")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "HashAggregate" not in plan
+
+
+def test_wide_rows_are_built_a_few_at_a_time(spark, monkeypatch):
+    """No aggregate, sort or exchange has a buffer as wide as the vocabulary; repeated and missing entries count as before."""
+    people = spark.createDataFrame([(1, "x"), (1, "x"), (2, "y"), (3, "z"), (None, "n")], "device_id long, brand string")
+    counts = spark.createDataFrame([(1, 1, 6), (1, 1, 4), (1, 3, 2), (2, None, 4), (None, 2, 9)], "device_id long, k int, n long")
+    names = [f"f{i}" for i in range(300)]
+    for cells in (1_000_000, 1):
+        monkeypatch.setattr(features, "WIDE_CELLS", cells)
+        got = features.attach_blocks(people, Block(counts, "n", names, "k", 1))
+        assert got.columns == ["device_id", "brand", *names] and dict(got.dtypes)["f0"] == "bigint"
+        found = {r.device_id: (r.f0, r.f1, r.f2, r.f299) for r in got.collect()}
+        assert got.count() == 4 and found == {1: (10, 0, 2, 0), 2: (0, 0, 0, 0), 3: (None,) * 4, None: (None,) * 4}
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert max((line.count("sum(") for line in plan.splitlines() if "Aggregate" in line), default=0) == 0 and "pivotfirst" not in plan
+        wide = features.widen(counts, "k", "n", {i + 1: n for i, n in enumerate(names)})
+        assert {r.device_id: (r.f0, r.f1, r.f2) for r in wide.collect()} == {1: (10, 0, 2), 2: (0, 0, 0), None: (0, 9, 0)}
