@@ -3,7 +3,7 @@
 Two sets that link differ in few elements, so of ``d + 1`` hash segments one is equal in
 both. Larger sets get fewer segments, of which some are equal in both but for a chance of ``exp(-30)``,
 and only those with several elements count. Documents that share a segment's signature are joined into coarse components (a
-superset of the links). Shingles that a bounded sample shows to be common are left out of the
+superset of the links). Shingles that a share of all documents hold are left out of the
 signatures where enough others remain: that loses no link either, and keeps passages that
 many documents share from joining them. The sets of a coarse component then
 meet in blocks, where a prefix tree finds the links. Exact copies stand for one set. A
@@ -37,30 +37,38 @@ BROADCAST_ROWS = 1_000_000
 KEY_BYTES = 5
 #: Common segments that linked large sets have on average at the least, and elements that make a segment count at most.
 EXPECTED, MOST_ELEMENTS = 30, 8
-#: Documents sampled to find common shingles, and distinct sampled texts that make one common.
-SAMPLE, COMMON = 4000, 8
+#: A shingle is common in one of so many documents, but not in fewer than this.
+COMMON_SHARE, COMMON = 500, 8
+#: Documents, and shingles, up to which a run is counted at once.
+RUN_ROWS, RUN_SHINGLES = 4096, 4 << 20
 
 
-def shingle_sets(texts: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of each text in ascending order, in a row, and their bounds.
+def shingles(texts: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, int]:
+    """Shingle hashes of all texts, with repeats, the text of each, and the number of texts.
 
     A text of fewer than ``width`` words has its whole sequence as one shingle; one without words has none.
     """
     words = W.split(texts, lower=True)
     hashes = W.word_hashes(words)
     keys, start = W.windows(hashes, words.first, width)
-    text = np.searchsorted(words.first, start, "right") - 1
+    text = np.repeat(np.arange(len(words.first) - 1), np.maximum(words.counts - width + 1, 0))
     for size in range(1, width):
         few = np.flatnonzero(words.counts == size)
         if len(few):
             whole = hashes[words.first[few][:, None] + np.arange(size)]
             key = W.mix((whole * W.powers(W.WORD_BASE, size)[0][:size]).sum(1) + np.uint64(size))
             keys, text = np.concatenate([keys, key]), np.concatenate([text, few])
+    return keys, text, len(words.first) - 1
+
+
+def shingle_sets(texts: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingle hashes of each text in ascending order, in a row, and their bounds."""
+    keys, text, number = shingles(texts, width)
     order = np.lexsort((keys, text))
     keys, text = keys[order], text[order]
     new = np.ones(len(keys), bool)
     new[1:] = (keys[1:] != keys[:-1]) | (text[1:] != text[:-1])
-    return keys[new], np.searchsorted(text[new], np.arange(len(words.first)))
+    return keys[new], np.searchsorted(text[new], np.arange(number + 1))
 
 
 def size_class(sizes: np.ndarray, share: int) -> np.ndarray:
@@ -174,17 +182,69 @@ def stars(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return np.unique(np.stack([hub[far], docs[far]], 1), axis=0), keys[first], docs[first]
 
 
-def common_shingles(docs: DataFrame, width: int) -> np.ndarray:
-    """Shingles of at least ``COMMON`` distinct texts among about ``SAMPLE`` documents, ascending."""
-    step = max(1, docs.count() // SAMPLE)
-    sample = docs.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(step)) == 0).select("text").distinct()
+def places(known: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which keys are among the ascending ``known`` ones, and where."""
+    at = np.searchsorted(known, keys)
+    inside = at < len(known)
+    inside[inside] = known[at[inside]] == keys[inside]
+    return inside, at
+
+
+def common_shingles(docs: DataFrame, size: int, width: int) -> np.ndarray:
+    """Shingles that one of ``COMMON_SHARE`` documents holds, and ``COMMON`` of them, ascending; counted in all documents.
+
+    A run of documents reports what it holds at least half as often as a common shingle would be held on average. All that the
+    runs leave unreported of a shingle is less than half of what makes it common, so only shingles of which
+    the other half is reported come into question: their number is bounded by the length of the texts, not by how many there are.
+    These are then counted in all documents. ``size`` is the bytes of text.
+    """
+    number = docs.count()
+    least = max(COMMON, -(-number // COMMON_SHARE))
+    if number < least:
+        return np.zeros(0, np.uint64)
+    # runs reach over whole partitions, so those of few documents are put together
+    rows = docs.select("text").coalesce(max(1, number // RUN_ROWS, size // BUCKET_BYTES))
+
+    def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, texts = [], 0
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush() -> pa.RecordBatch:
+            keys = np.sort(np.concatenate(held))
+            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+            count = np.diff(np.append(first, len(keys)))
+            often = 2 * number * count >= texts * least
+            return pa.RecordBatch.from_arrays([pa.array(keys[first[often]].view(np.int64)), pa.array(count[often])], names=["key", "n"])
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, RUN_ROWS):
+                keys, _, new = shingles(batch.column(0).slice(at, RUN_ROWS), width)
+                if held and (texts + new > RUN_ROWS or sum(map(len, held)) + len(keys) > RUN_SHINGLES):
+                    yield flush()
+                    held, texts = [], 0
+                held.append(keys)
+                texts += new
+        if held:
+            yield flush()
+        release()
+
+    reported = rows.mapInArrow(report, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    asked = np.sort(reported.where(F.col("n") * 2 > least).select("key").toArrow().column(0).to_numpy().view(np.uint64))
+    if not len(asked):
+        return asked
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = np.zeros(len(asked), np.int64)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(shingle_sets(batch.column(0), width)[0].view(np.int64))], names=["key"])
+            keys, text, _ = shingles(batch.column(0), width)
+            inside, at = places(asked, keys)
+            once = np.unique(text[inside] * len(asked) + at[inside])
+            count += np.bincount(once % len(asked), minlength=len(asked))
+        release()
+        held = np.flatnonzero(count)
+        yield pa.RecordBatch.from_arrays([pa.array(asked[held].view(np.int64)), pa.array(count[held])], names=["key", "n"])
 
-    counts = sample.mapInArrow(spread, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    return np.sort(np.array([r["key"] for r in counts.where(F.col("n") >= COMMON).collect()], np.int64).view(np.uint64))
+    counted = docs.select("text").mapInArrow(tally, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return np.sort(counted.where(F.col("n") >= least).select("key").toArrow().column(0).to_numpy().view(np.uint64))
 
 
 def coarse(docs: DataFrame, width: int = WIDTH, share: int = SHARE) -> DataFrame:
@@ -192,12 +252,12 @@ def coarse(docs: DataFrame, width: int = WIDTH, share: int = SHARE) -> DataFrame
     small_batches(docs.sparkSession)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(12, size // BUCKET_BYTES)
-    ignored = common_shingles(docs, width)
+    ignored = common_shingles(docs, size, width)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, bounds = shingle_sets(batch.column(1), width)
-            keys, owner = signatures(keys, bounds, share, ~np.isin(keys, ignored))
+            keys, owner = signatures(keys, bounds, share, ~places(ignored, keys)[0])
             edges, keys, hubs = stars(keys, batch.column(0).to_numpy()[owner])
             order, bounds = bucketed(keys, buckets)
             keys, hubs = keys[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES], hubs[order]

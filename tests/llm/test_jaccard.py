@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -185,3 +186,30 @@ def test_components(spark, edges, task):
             x, y = sorted((find(a), find(b)))
             up[y] = x
     assert got == {x: find(x) for x in list(up)}
+
+
+def test_common_shingles_are_counted_in_all_documents(spark):
+    """Of 9,000 documents, 18 make a shingle common and 17 do not; repeats in a document count once."""
+    extra = {i: "in0 in1 in2" for i in range(0, 9000, 500)}
+    extra |= {i: "not quite enough" for i in range(1, 17 * 500, 500)}
+    extra |= {i: "twice over here twice over here" for i in range(2, 12 * 500, 500)}
+    rows = [(i, f"a{i} b{i} {extra.get(i, '')}") for i in range(9000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = jaccard.common_shingles(docs, 1 << 20, 3)
+    want, _ = jaccard.shingle_sets(pa.array(["in0 in1 in2"]), 3)
+    assert got.tolist() == want.tolist()
+
+
+def test_common_shingles_in_long_and_few_documents(spark, monkeypatch):
+    """Runs cut short by the number of shingles report the same."""
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice("abcdefg") for _ in range(rng.randrange(0, 40)))) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    held = {}
+    for _, text in rows:
+        for key in jaccard.shingle_sets(pa.array([text]), 3)[0].tolist():
+            held[key] = held.get(key, 0) + 1
+    want = sorted(k for k, n in held.items() if n >= 8)
+    assert want and jaccard.common_shingles(docs, 1, 3).tolist() == want
+    monkeypatch.setattr(jaccard, "RUN_SHINGLES", 50)
+    assert jaccard.common_shingles(docs, 1, 3).tolist() == want
