@@ -12,6 +12,8 @@ from __future__ import annotations
 import functools
 import os
 import re
+from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +22,8 @@ from devfold.llm import words as W
 
 #: Words kept in one worker's table; beyond that it starts again. Bounds memory only.
 KEPT_WORDS = 2_000_000
+#: Words seen last are found at once by this many bits of their hash.
+NEAR_BITS = 19
 #: Text encoded at once.
 RUN_BYTES = 4 << 20
 _MARKS = np.zeros(256, bool)
@@ -28,6 +32,7 @@ _ALNUM = np.zeros(256, bool)
 _ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
 #: One piece for the tokenizer, and unchanged by its normaliser.
 _PLAIN = re.compile("[a-zß-öø-ÿ]+").fullmatch
+_TOKEN_ID = attrgetter("id")
 #: The byte-level alphabet: printable Latin-1 bytes stand for themselves, the others follow from 256 on.
 _ITSELF = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _ALPHABET = {b: b if b in _ITSELF else 256 + i for i, b in [*enumerate(sorted(set(range(256)) - _ITSELF))] + [(0, b) for b in _ITSELF]}
@@ -57,6 +62,9 @@ class Encoder:
         self.row = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
         self.bounds = np.zeros(1, np.int64)
+        # a slot that holds no word holds a hash that belongs to another slot
+        self.near, self.near_row = np.zeros(1 << NEAR_BITS, np.uint64), np.zeros(1 << NEAR_BITS, np.int32)
+        self.near[0] = 2**64 - 1
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -71,21 +79,43 @@ class Encoder:
                 rest.append(len(out))
                 out.append([])
             else:
-                out.append([t.id for t in merge(text if text.isascii() else text.encode().decode("latin-1").translate(_ALPHABET))])
+                out.append(list(map(_TOKEN_ID, merge(text if text.isascii() else text.encode().decode("latin-1").translate(_ALPHABET)))))
         for i, ids in zip(rest, self._ids([texts[i] for i in rest]), strict=True):
             out[i] = ids
         return out
 
     def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
+        """Put words into the table; their hashes ascend and are not in it."""
         found = self._stems(texts)
         sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for x in found for i in x), np.uint32, int(sizes.sum()))
+        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
         rows = len(self.bounds) - 1 + np.arange(len(found))
         self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(sizes)])
         self.ids = np.concatenate([self.ids, flat])
-        known = np.concatenate([self.known, hashes])
-        order = np.argsort(known, kind="stable")
-        self.known, self.row = known[order], np.concatenate([self.row, rows])[order]
+        at = np.searchsorted(self.known, hashes)
+        self.known, self.row = np.insert(self.known, at, hashes), np.insert(self.row, at, rows)
+
+    def _rows(self, hashes: np.ndarray, data: np.ndarray, words: W.Words) -> np.ndarray:
+        """The table's row of each word; words not seen before are learnt."""
+        if len(self.known) > KEPT_WORDS:
+            self.forget()
+        slot = hashes >> np.uint64(64 - NEAR_BITS)
+        row = self.near_row[slot].astype(np.int64)
+        far = np.flatnonzero(self.near[slot] != hashes)
+        distinct, at, which = np.unique(hashes[far], return_index=True, return_inverse=True)
+        place = np.searchsorted(self.known, distinct)
+        new = np.ones(len(distinct), bool)
+        inside = place < len(self.known)
+        new[inside] = self.known[place[inside]] != distinct[inside]
+        if new.any():
+            raw, first = data.tobytes(), far[at[new]]
+            self._learn(distinct[new], [raw[s:e].decode() for s, e in zip(words.start[first].tolist(), words.end[first].tolist(), strict=True)])
+            place = np.searchsorted(self.known, distinct)
+        found = self.row[place]
+        row[far] = found[which]
+        slot, last = np.unique(distinct >> np.uint64(64 - NEAR_BITS), return_index=True)
+        self.near[slot], self.near_row[slot] = distinct[last], found[last]
+        return row
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's begin and end. Null counts as empty.
@@ -114,24 +144,12 @@ class Encoder:
         letter = _ALNUM[prior] | (lead == 0xC3) & (prior >= 0x80) & (prior < 0xC0) & (prior != 0x97) & (prior != 0xB7)
         tailed = _MARKS[last] & letter & ~solo
         words.end = end - tailed
-        hashes = W.word_hashes(words)
-        distinct, at, which = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.known) > KEPT_WORDS:
-            self.forget()
-        place = np.searchsorted(self.known, distinct)
-        new = np.ones(len(distinct), bool)
-        inside = place < len(self.known)
-        new[inside] = self.known[place[inside]] != distinct[inside]
-        if new.any():
-            raw, first = data.tobytes(), at[new]
-            self._learn(distinct[new], [raw[s:e].decode() for s, e in zip(words.start[first].tolist(), words.end[first].tolist(), strict=True)])
-            place = np.searchsorted(self.known, distinct)
-        row = self.row[place][which]
+        row = self._rows(W.word_hashes(words), data, words)
         begin, size = self.bounds[row], self.bounds[row + 1] - self.bounds[row]
         total = size + tailed
         ends = np.concatenate([[0], np.cumsum(total)])
-        out = np.empty(int(ends[-1]), np.uint32)
-        out[W.runs(ends[:-1], size)] = self.ids[W.runs(begin, size)]
+        # the place after a word's ids is its mark's, if it has one, and read from the next word until then
+        out = np.append(self.ids, np.uint32(0))[W.runs(begin, total)]
         marks = np.zeros(256, np.uint32)
         for c, ids in self.marks.items():
             marks[c] = ids[0]

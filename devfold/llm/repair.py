@@ -211,8 +211,9 @@ def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.nda
         if exact:  # old pairs only get rarer, and each new one has a new symbol
             at = np.cumsum(kept, dtype=np.int32) - 1
             fresh = at[chosen]
-            live = np.unique(np.concatenate([at[live[kept[live]]], fresh - 1, fresh]))
-            live = live[(live >= 0) & (live < len(seq) - 1)]
+            held = np.zeros(len(seq) + 1, bool)  # the last one is what lies before the first symbol
+            held[at[live[kept[live]]]] = held[fresh - 1] = held[fresh] = True
+            live = np.flatnonzero(held[: len(seq) - 1])
         known = np.concatenate([sizes, np.zeros(0, np.int64)])
         width = [np.where(pair[:, i] < base, 1, known[np.maximum(pair[:, i].astype(np.int64) - base, 0)] if len(known) else 1) for i in (0, 1)]
         rules.append(pair)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import zlib
 
 import numpy as np
@@ -127,3 +128,15 @@ def test_rules_go_on_while_a_pair_repeats():
         assert uses.max(initial=0) < repair.LEAST_USES
         shard = repair.Shard(np.zeros(1), np.zeros(1), np.array([len(some)]), 30_000, rules, sizes, seq)
         assert (repair.Shard.unpack(shard.pack()).decode() == some).all()
+
+
+def test_words_that_share_a_slot(monkeypatch):
+    """Words that push each other out of the slots of words seen last still get their own ids, before and after the table starts again."""
+    monkeypatch.setattr(encode, "NEAR_BITS", 2)
+    monkeypatch.setattr(encode, "KEPT_WORDS", 30)
+    own = encode.Encoder(encode.vocabulary())
+    rng = random.Random(2)
+    for _ in range(4):
+        texts = [" ".join(rng.choice(["the", "of", "Über", "x", "x,", "漢字", "...", f"v{rng.randrange(40)}.", f"w{rng.randrange(9)}"]) for _ in range(rng.randrange(60))) for _ in range(9)]
+        ids, bounds = own.encode(pa.array(texts))
+        assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == [plain(t) for t in texts]
