@@ -72,14 +72,16 @@ def buckets(points: np.ndarray, offsets: np.ndarray, bits: int) -> Iterator[tupl
 def present(texts: list[str | None], bits: int, wanted: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Distinct ``(text, bucket)`` of each piece, by text, then bucket; with ``wanted``, of the buckets it marks."""
     for first, points, offsets in pieces(texts):
+        text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
         keys = []
         for bucket, place in buckets(points, offsets, bits):
             if wanted is not None:
                 hit = wanted[bucket]
                 bucket, place = bucket[hit], place[hit]
-            text = np.searchsorted(offsets, place, "right") - 1
-            keys.append(text << bits | bucket)
-        found = np.unique(np.concatenate(keys))
+            keys.append(text[place] << bits | bucket)
+        found = np.concatenate(keys)
+        found.sort()  # np.unique hashes all keys first, which takes ten times as long
+        found = found[np.append(True, found[1:] != found[:-1])] if len(found) else found
         yield first + (found >> bits), found & ((1 << bits) - 1)
 
 
