@@ -35,6 +35,8 @@ BLOCK_BYTES, BUCKET_BYTES = 8 << 20, 4 << 20
 BROADCAST_ROWS = 1_000_000
 #: Bytes of a signature that travel beside its bucket; equal by chance, they only widen a coarse component.
 KEY_BYTES = 5
+#: One signature in so many meets first, so that near copies are known as such before the others meet.
+LEAD = 16
 #: Common segments that linked large sets have on average at the least, and elements that make a segment count at most.
 EXPECTED, MOST_ELEMENTS = 30, 8
 #: A shingle is common in one of so many documents, but not in fewer than this.
@@ -247,18 +249,31 @@ def common_shingles(docs: DataFrame, size: int, width: int) -> np.ndarray:
     return np.sort(counted.where(F.col("n") >= least).select("key").toArrow().column(0).to_numpy().view(np.uint64))
 
 
-def coarse(docs: DataFrame, width: int = WIDTH, share: int = SHARE) -> DataFrame:
-    """Edges ``(src, dst)`` that connect all documents sharing a segment signature, directly or not."""
-    small_batches(docs.sparkSession)
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(12, size // BUCKET_BYTES)
-    ignored = common_shingles(docs, size, width)
+def signed(docs: DataFrame, width: int, share: int, ignored: np.ndarray) -> DataFrame:
+    """Each document's id with its signatures, eight bytes each: one in ``LEAD`` of them in ``lead``, the others in ``rest``."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, bounds = shingle_sets(batch.column(1), width)
             keys, owner = signatures(keys, bounds, share, ~places(ignored, keys)[0])
-            edges, keys, hubs = stars(keys, batch.column(0).to_numpy()[owner])
+            order = np.argsort(owner, kind="stable")
+            keys, owner = keys[order].astype("<u8"), owner[order]
+            lead = (keys >> np.uint64(40)) % np.uint64(LEAD) == 0
+            cells = [W.ragged(keys[which], np.searchsorted(owner[which], np.arange(batch.num_rows + 1))) for which in (lead, ~lead)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *cells], names=["doc_id", "lead", "rest"])
+            release()
+
+    return docs.where("doc_id IS NOT NULL").mapInArrow(sign, "doc_id long, lead binary, rest binary")
+
+
+def meetings(rows: DataFrame, buckets: int) -> DataFrame:
+    """Edges ``(src, dst)`` that connect all labels of ``rows(label, keys)`` that have a key in common, once for each batch and bucket."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            given = batch.column(1).to_pylist()
+            keys = np.frombuffer(b"".join(given), "<u8").astype(np.uint64)
+            edges, keys, hubs = stars(keys, np.repeat(batch.column(0).to_numpy(), [len(x) // 8 for x in given]))
             order, bounds = bucketed(keys, buckets)
             keys, hubs = keys[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES], hubs[order]
             held = np.flatnonzero(np.diff(bounds))
@@ -288,8 +303,24 @@ def coarse(docs: DataFrame, width: int = WIDTH, share: int = SHARE) -> DataFrame
         release()
         return pa.table({"src": found[:, 0], "dst": found[:, 1]})
 
-    cells = docs.where("doc_id IS NOT NULL").mapInArrow(sign, "bucket int, edges boolean, cell binary")
-    return cells.groupBy("bucket").applyInArrow(meet, "src long, dst long")
+    return rows.mapInArrow(deal, "bucket int, edges boolean, cell binary").groupBy("bucket").applyInArrow(meet, "src long, dst long")
+
+
+def coarse(docs: DataFrame, width: int = WIDTH, share: int = SHARE) -> DataFrame:
+    """Edges ``(src, dst)`` that connect all documents sharing a segment signature, directly or not.
+
+    Near copies share most of their signatures and would meet in nearly every bucket, the more often the more buckets there are.
+    So one in ``LEAD`` of the signatures meet first, and documents that these connect go by one label when the others meet:
+    what is connected already makes no edge again.
+    """
+    small_batches(docs.sparkSession)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    rows = written(signed(docs, width, share, common_shingles(docs, size, width)))
+    first = written(components(meetings(rows.select("doc_id", "lead"), max(12, size // (LEAD * BUCKET_BYTES)))))
+    label = F.coalesce("component", "doc_id").alias("label")
+    named = rows.join(_small(first), rows.doc_id == first.node, "left").select(label, "rest")
+    joined = first.where("node <> component").select(F.col("component").alias("src"), F.col("node").alias("dst"))
+    return joined.unionByName(meetings(named, max(12, size // BUCKET_BYTES)))
 
 
 def sized(docs: DataFrame, width: int = WIDTH) -> DataFrame:

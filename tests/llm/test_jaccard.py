@@ -213,3 +213,15 @@ def test_common_shingles_in_long_and_few_documents(spark, monkeypatch):
     assert want and jaccard.common_shingles(docs, 1, 3).tolist() == want
     monkeypatch.setattr(jaccard, "RUN_SHINGLES", 50)
     assert jaccard.common_shingles(docs, 1, 3).tolist() == want
+
+
+def test_near_copies_do_not_meet_in_every_bucket(spark, monkeypatch):
+    """What few signatures connect makes no edge in the buckets of the others, however many there are."""
+    rng = random.Random(5)
+    texts = [[f"w{rng.randrange(10**6)}" for _ in range(400)] for _ in range(30)]
+    rows = [(2 * i + j, " ".join([*text, f"end{j}"])) for i, text in enumerate(texts) for j in (0, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    monkeypatch.setattr(jaccard, "BUCKET_BYTES", 1000)
+    edges = jaccard.coarse(docs)
+    assert {r["node"]: r["component"] for r in components(edges).collect()} == {i: i - i % 2 for i in range(60)}
+    assert edges.count() <= 3 * 30
