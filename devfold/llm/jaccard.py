@@ -192,6 +192,24 @@ def places(known: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return inside, at
 
 
+def runs(pieces: Iterator[tuple[np.ndarray, int]]) -> Iterator[tuple[np.ndarray, int]]:
+    """Pieces (shingles, number of texts) put together to runs of ``RUN_ROWS`` texts, or half of ``RUN_SHINGLES``, about.
+
+    What comes last is held back with the run before it: in a run of few texts every shingle would be held often.
+    """
+    held: list[tuple[np.ndarray, int]] = []
+    for keys, texts in pieces:
+        while held and (sum(n for _, n in held) + texts > 2 * RUN_ROWS or sum(len(k) for k, _ in held) + len(keys) > RUN_SHINGLES):
+            full = np.cumsum([n for _, n in held]) > RUN_ROWS
+            full |= np.cumsum([len(k) for k, _ in held]) > RUN_SHINGLES // 2
+            take = max(1, int(full.argmax()) if full.any() else len(held))
+            yield np.concatenate([k for k, _ in held[:take]]), sum(n for _, n in held[:take])
+            held = held[take:]
+        held.append((keys, texts))
+    if held:
+        yield np.concatenate([k for k, _ in held]), sum(n for _, n in held)
+
+
 def common_shingles(docs: DataFrame, size: int, width: int) -> np.ndarray:
     """Shingles that one of ``COMMON_SHARE`` documents holds, and ``COMMON`` of them, ascending; counted in all documents.
 
@@ -208,25 +226,13 @@ def common_shingles(docs: DataFrame, size: int, width: int) -> np.ndarray:
     rows = docs.select("text").coalesce(max(1, number // RUN_ROWS, size // BUCKET_BYTES))
 
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, texts = [], 0
-
-        def flush() -> pa.RecordBatch:
-            keys = np.sort(np.concatenate(held))
+        cut = (batch.column(0).slice(at, RUN_ROWS // 8) for batch in batches for at in range(0, batch.num_rows, RUN_ROWS // 8))
+        for held, texts in runs((keys, new) for keys, _, new in (shingles(part, width) for part in cut)):
+            keys = np.sort(held)
             first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
             count = np.diff(np.append(first, len(keys)))
             often = 2 * number * count >= texts * least
-            return pa.RecordBatch.from_arrays([pa.array(keys[first[often]].view(np.int64)), pa.array(count[often])], names=["key", "n"])
-
-        for batch in batches:
-            for at in range(0, batch.num_rows, RUN_ROWS):
-                keys, _, new = shingles(batch.column(0).slice(at, RUN_ROWS), width)
-                if held and (texts + new > RUN_ROWS or sum(map(len, held)) + len(keys) > RUN_SHINGLES):
-                    yield flush()
-                    held, texts = [], 0
-                held.append(keys)
-                texts += new
-        if held:
-            yield flush()
+            yield pa.RecordBatch.from_arrays([pa.array(keys[first[often]].view(np.int64)), pa.array(count[often])], names=["key", "n"])
         release()
 
     reported = rows.mapInArrow(report, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))

@@ -225,3 +225,14 @@ def test_near_copies_do_not_meet_in_every_bucket(spark, monkeypatch):
     edges = jaccard.coarse(docs)
     assert {r["node"]: r["component"] for r in components(edges).collect()} == {i: i - i % 2 for i in range(60)}
     assert edges.count() <= 3 * 30
+
+
+@pytest.mark.parametrize("texts", [300, 4096 + 300, 5 * 4096 + 1])
+@pytest.mark.parametrize("piece", [512, 392])
+def test_no_run_is_short_beside_others(texts, piece):
+    """A run of few texts would report all its shingles, so the rest of a task joins the run before it."""
+    sizes = [piece] * (texts // piece) + [texts % piece]
+    got = list(jaccard.runs((np.full(3 * n, i, np.uint64), n) for i, n in enumerate(sizes)))
+    assert sum(n for _, n in got) == texts
+    assert np.concatenate([k for k, _ in got]).tolist() == np.repeat(np.arange(len(sizes)), 3 * np.array(sizes)).tolist()
+    assert all(min(texts, 4096 - 512) <= n <= 2 * 4096 for _, n in got)
