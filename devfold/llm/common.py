@@ -82,9 +82,8 @@ def ranges_of(docs: DataFrame, target_bytes: int) -> tuple[list[int], int]:
     groups = max(1, min(rows, -(-size // target_bytes)))
     if groups < 2:
         return [], size
-    shares = F.array(*[F.lit(i / groups) for i in range(1, groups)]) if groups <= 1000 else F.expr(
-        f"transform(sequence(1, {groups - 1}), i -> i / {float(groups)}D)"
-    )
+    # shares have to be a constant for the aggregate: one literal that is split and cast, however many they are
+    shares = F.split(F.lit(",".join(repr(i / groups) for i in range(1, groups))), ",").cast("array<double>")
     cuts = docs.agg(F.percentile_approx("doc_id", shares, max(10_000, 20 * groups)).alias("cuts")).first()["cuts"]
     return sorted(set(cuts)), size
 

@@ -51,6 +51,13 @@ def messy_rows():
     return rows
 
 
+def many_rows(number=2400):
+    """Short texts with null and repeated ids, in which ranges of 100 bytes are more than a thousand."""
+    line = "a b c d e f g h i j k l m n o p q r s t u v w x y z"
+    keys = [None if i % 400 == 7 else i // 2 if i % 100 == 3 else i for i in range(number)]
+    return [(k, f"w{i % 60} {line} {i % 60}" + " tail" * (i % 3), "en", "s", 1) for i, k in enumerate(keys)]
+
+
 @pytest.fixture(scope="session")
 def messy(spark):
     return table(spark, messy_rows())

@@ -11,8 +11,9 @@ from hypothesis import strategies as st
 
 from devfold.llm import encode, pack, repair
 from devfold.llm import words as W
+from devfold.llm.common import ranges_of
 
-from .conftest import messy_rows, ordered, words
+from .conftest import many_rows, messy_rows, ordered, table, words
 
 ENCODER = encode.encoder(encode.vocabulary())
 
@@ -140,3 +141,25 @@ def test_words_that_share_a_slot(monkeypatch):
         texts = [" ".join(rng.choice(["the", "of", "Über", "x", "x,", "漢字", "...", f"v{rng.randrange(40)}.", f"w{rng.randrange(9)}"]) for _ in range(rng.randrange(60))) for _ in range(9)]
         ids, bounds = own.encode(pa.array(texts))
         assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == [plain(t) for t in texts]
+
+
+def test_more_than_a_thousand_ranges(spark):
+    rows = many_rows()
+    cuts, size = ranges_of(table(spark, rows), 100)
+    assert size == sum(len(r[1]) for r in rows)
+    assert 1000 < len(cuts) < -(-size // 100) and cuts == sorted(set(cuts))
+    keys = np.array([k if k is not None else -1 for k, *_ in rows])
+    assert np.bincount(np.searchsorted(cuts, keys)).max() <= 12
+
+
+def test_files_of_more_than_a_thousand_shards(spark, tmp_path):
+    rows, path = many_rows(), str(tmp_path / "shards")
+    got = repair.token_files(table(spark, rows), path, shard_bytes=60).collect()
+    assert spark.read.parquet(path).count() > 1000
+    want = {}
+    for key, text, *_ in rows:
+        want.setdefault(key, []).append(crc(plain(text) + [repair.END_ID]))
+    found = {}
+    for r in sorted(got, key=lambda r: r["start"]):
+        found.setdefault(r["doc_id"], []).append(r["ids_crc32"])
+    assert {k: sorted(v) for k, v in found.items()} == {k: sorted(v) for k, v in want.items()}
