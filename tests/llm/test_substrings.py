@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 
 from devfold.llm import substrings
 
-from .conftest import messy_rows, ordered, table, words
+from .conftest import many_rows, messy_rows, ordered, table, words
 
 
 def plain(rows, width):
@@ -45,6 +45,11 @@ def test_short_windows_and_hot_passage(spark):
     assert by_text(tuple(r) for r in got.collect()) == by_text(plain(rows, 4))
 
 
+def test_more_than_a_thousand_ranges(spark):
+    got = substrings.removals(table(spark, many_rows()), range_bytes=100)
+    assert by_text(tuple(r) for r in got.collect()) == by_text(plain(many_rows(), 20))
+
+
 def test_spans_and_kept_text(spark):
     docs = table(spark, [(1, "a b c d e", "en", "s", 1), (2, "x a b c  y\nc d e z", "en", "s", 1)])
     rows = {r["doc_id"]: (r["spans"], r["kept"]) for r in substrings.removals(docs, width=3, output="text").collect()}
