@@ -9,7 +9,7 @@ import pyarrow as pa
 
 from devfold.llm import logbloom
 
-from .conftest import lowered, messy_rows
+from .conftest import lowered, many_rows, messy_rows, table
 
 
 def held_out(key):
@@ -37,6 +37,11 @@ def test_base_and_blocks(messy):
     assert all(r["score"] < 0 and math.isfinite(r["score"]) for r in one + three)
 
 
+def test_more_than_a_thousand_ranges(spark):
+    got = logbloom.score_texts(table(spark, many_rows()), range_bytes=100).collect()
+    assert sorted(str((*tuple(r)[:5], round(r["base_score"], 6))) for r in got) == plain(many_rows())
+
+
 def test_levels_never_fall_below_the_count_and_seldom_exceed_it(spark):
     rows = [(" ".join(f"w{i}" for i in range(k, 4000, k + 1)),) for k in range(12)] * 3
     train = spark.createDataFrame(rows, "text string")
