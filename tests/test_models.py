@@ -240,3 +240,17 @@ def test_naive_bayes_of_absent_classes(spark, frames, tmp_path):
     assert one == two
     best = model.transform(filled).where(F.get(F.lit(many), F.col("prediction").cast("int")) != F.col("grp"))
     assert best.count() < 30
+
+
+def test_registered_perceptron_has_all_its_layers(monkeypatch):
+    from types import SimpleNamespace
+
+    from devfold.registry import queries
+
+    seen = []
+    monkeypatch.setattr(queries, "profiles", lambda r: SimpleNamespace(model_frames=lambda: ("train", "test")))
+    monkeypatch.setattr(queries.fit, "fit_mlp", lambda train, inputs, classes, size, seed: seen.append((train, inputs, size)) or "model")
+    monkeypatch.setattr(queries.scoring, "submission", lambda model, test, classes: (model, test))
+    assert queries.mlp_scores(None) == ("model", "test")
+    assert seen == [("train", fit.ALL_INPUTS, fit.NETWORKS["all"])]
+    assert (fit.NETWORKS["all"].hidden, fit.NETWORKS["all"].epochs) == ((64,) * 6, 500)
