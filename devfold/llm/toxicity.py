@@ -6,8 +6,8 @@ rows that take part, bucket ``j`` has the ratio ``r_j = log((p_j / |p|) / (q_j /
 ``SMOOTH``. A text is the vector of the ratios of its buckets, and a logistic regression with a squared penalty weighs
 them. Buckets whose ratio is within ``LEAST_Z`` standard errors of 0 are left out of the model.
 
-Tasks count into arrays of fixed size, cells of which are summed in rounds of ``FAN`` at most. Fitting is a Spark job over all
-those rows, with the chosen buckets alone; scoring is map-only with one weight for each bucket.
+Tasks count into arrays of fixed size, cells of which are summed in rounds of ``FAN`` at most. Fitting reads blocks of all
+those rows in each of its steps, with the chosen buckets alone, and keeps none of them, but for rows few enough for the library; scoring is map-only with one weight for each bucket.
 """
 
 from __future__ import annotations
@@ -25,18 +25,22 @@ from pyspark.sql import types as T
 
 from devfold.llm import words as W
 from devfold.llm.common import id_and_text, release, small_batches, written
+from devfold.models.descent import minimised
+from devfold.models.network import _summed
 from devfold.models.vectors import FIELDS
 
 SIZES = (3, 4, 5)
 #: Buckets, as a power of two; buckets of one cell of counts; cells summed in one group.
 BITS, CELL, FAN = 20, 1 << 12, 256
 SMOOTH, LEAST_Z = 1.0, 3.0
-PENALTY, ROUNDS = 1e-4, 60
+PENALTY, ROUNDS, TOLERANCE = 1e-4, 60, 1e-6
 #: Score from which a text counts as toxic.
 THRESHOLD = 0.7
-#: Labelled text that one task counts, rows that one task of a fitting step reads, and characters hashed at a time.
+#: Labelled text that one task counts, buckets of texts that one task of a fitting step reads, texts in a block, and characters hashed at a time.
 #: Each task of a step sends one number for every bucket with a ratio, so small tasks would send more than they read.
-TASK_BYTES, FIT_ROWS, PIECE = 16 << 20, 1 << 14, 1 << 19
+TASK_BYTES, STEP_CELLS, BLOCK_TEXTS, PIECE = 16 << 20, 16 << 20, 256, 1 << 19
+#: Buckets of texts up to which the library fits, which holds all vectors in memory, and rows in one of its tasks.
+HELD_CELLS, FIT_ROWS = 8 << 20, 1 << 14
 
 
 def pieces(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -177,6 +181,89 @@ def vectors(rows: DataFrame, ratio: np.ndarray) -> DataFrame:
     return rows.select("text", "label").mapInArrow(build, schema)
 
 
+def slotted(rows: DataFrame, ratio: np.ndarray) -> DataFrame:
+    """``labels, sizes, steps, far``: blocks of texts with what :func:`vectors` would have of them, without the ratios, which go by the bucket.
+
+    A text's buckets count on from its place in the block times their number, so that they ascend in a block and are stored as
+    the steps from one to the next, in 16 bits; ``far`` has where steps are longer, and by how much.
+    """
+    bits, chosen = len(ratio).bit_length() - 1, np.flatnonzero(ratio)
+    slot = np.zeros(len(ratio), np.uint32)
+    slot[chosen] = np.arange(len(chosen))
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for first in range(0, whole.num_rows, BLOCK_TEXTS):
+                batch = whole.slice(first, BLOCK_TEXTS)
+                keys, sizes = [], np.zeros(batch.num_rows, np.int32)
+                for text, bucket in present(batch.column(0).to_pylist(), bits, ratio != 0):
+                    keys.append(text.astype(np.uint32) * np.uint32(len(chosen)) + slot[bucket])
+                    sizes += np.bincount(text, minlength=batch.num_rows).astype(np.int32)
+                steps = np.diff(np.concatenate(keys), prepend=np.uint32(0))
+                far = np.flatnonzero(steps >> np.uint32(16))
+                far = np.stack([far, steps[far] >> np.uint32(16)]).astype("<u4")
+                cells = (batch.column(1).to_numpy().astype(np.int8), sizes, steps.astype("<u2"), far)
+                yield pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.binary()) for c in cells], names=["labels", "sizes", "steps", "far"])
+            release()
+
+    return rows.select("text", "label").mapInArrow(build, "labels binary, sizes binary, steps binary, far binary")
+
+
+def unslotted(steps: bytes, far: bytes, number: np.ndarray, width: int) -> np.ndarray:
+    """Buckets of the texts of a block, which have ``number`` each, in a row."""
+    found = np.frombuffer(steps, "<u2").astype(np.uint32)
+    place, more = np.frombuffer(far, "<u4").reshape(2, -1)
+    found[place] += more << np.uint32(16)
+    return np.cumsum(found, dtype=np.uint32) - np.repeat(np.arange(len(number), dtype=np.uint32) * np.uint32(width), number)
+
+
+def weighed(table: DataFrame, ratio: np.ndarray, counts: np.ndarray, sizes: tuple[float, float], penalty: float) -> tuple[np.ndarray, float]:
+    """Coefficients of the buckets with a ratio, and the intercept, by a logistic regression over the blocks of :func:`slotted`.
+
+    The regression moves on inputs of mean 0 and deviation 1, which follow from the ``counts`` of texts with each bucket; the
+    penalty is on the coefficients of the ratios themselves. ``sizes`` are the numbers of texts of each class.
+    """
+    value, held, texts = ratio[ratio != 0], counts.sum(axis=0)[ratio != 0], float(sum(sizes))
+    mean, spread = value * held / texts, np.abs(value) * np.sqrt(held * (texts - held) / (texts * max(texts - 1, 1)))
+    inverse = np.divide(1.0, spread, out=np.zeros_like(spread), where=spread > 0)
+    scale, centre, width = value * inverse, mean * inverse, len(value)
+    tasks = max(1, min(-(-int(held.sum()) // STEP_CELLS), table.rdd.getNumPartitions()))
+    context = table.sparkSession.sparkContext
+
+    def cost(point: np.ndarray) -> tuple[float, np.ndarray]:
+        weights, intercept = point[:-1], point[-1]
+        shared = context.broadcast((weights * scale, float(intercept - weights @ centre)))
+
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own, offset = shared.value
+            total, loss, left = np.zeros(width), 0.0, 0.0
+            for batch in batches:
+                for labels, number, steps, far in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                    label, number = np.frombuffer(labels, np.int8), np.frombuffer(number, np.int32)
+                    slot = unslotted(steps, far, number, width)
+                    margin, filled = np.full(len(label), offset), number > 0
+                    if len(slot):
+                        margin[filled] += np.add.reduceat(own[slot], (np.cumsum(number) - number)[filled])
+                    loss += float(np.logaddexp(0, -margin).sum() + margin[label == 0].sum())
+                    error = 1 / (1 + np.exp(-np.clip(margin, -500, 500))) - label
+                    left += float(error.sum())
+                    total += np.bincount(slot, np.repeat(error, number), width)
+            sums = np.concatenate([[loss, left, 0.0, 0.0], total]).tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([sums], pa.binary())], names=["sums"])
+
+        parts = table.coalesce(tasks).mapInArrow(work, "sums binary").withColumn("part", F.spark_partition_id())
+        try:
+            slope, (loss, left, *_) = _summed(parts.select("part", "sums"), tasks)
+        finally:
+            shared.destroy()
+        bound = penalty * weights * inverse * inverse
+        gradient = np.append((slope * scale - left * centre) / texts + bound, left / texts)
+        return float(loss / texts + 0.5 * weights @ bound), gradient
+
+    found = minimised(cost, np.append(np.zeros(width), np.log(sizes[1] / sizes[0])), ROUNDS, TOLERANCE)
+    return found[:-1] * inverse, float(found[-1] - found[:-1] @ centre)
+
+
 def fit(rows: DataFrame, bits: int = BITS, smooth: float = SMOOTH, least_z: float = LEAST_Z, penalty: float = PENALTY) -> Model:
     """Learn from all ``rows`` of ``text`` and ``label`` (0 or 1); with one class alone, or no ratio that counts, the model is that of the smoothed class shares."""
     small_batches(rows.sparkSession)
@@ -184,14 +271,18 @@ def fit(rows: DataFrame, bits: int = BITS, smooth: float = SMOOTH, least_z: floa
     sizes = {label: n for label, n in rows.groupBy("label").count().collect()}
     prior = float(np.log((sizes.get(1.0, 0) + 0.5) / (sizes.get(0.0, 0) + 0.5)))
     weights = np.zeros(1 << bits)
-    ratio = ratios(bucket_counts(rows, bits), smooth, least_z) if len(sizes) == 2 else weights
+    counts = bucket_counts(rows, bits) if len(sizes) == 2 else None
+    ratio = ratios(counts, smooth, least_z) if len(sizes) == 2 else weights
     if not ratio.any():
         return Model(weights, prior)
-    learner = LogisticRegression(maxIter=ROUNDS, regParam=penalty, elasticNetParam=0.0, standardization=False, tol=1e-6)
-    fitted = learner.fit(written(vectors(rows, ratio)).coalesce(-(-sum(sizes.values()) // FIT_ROWS)))
-    chosen = np.flatnonzero(ratio)
-    weights[chosen] = ratio[chosen] * fitted.coefficients.toArray()
-    return Model(weights, float(fitted.intercept))
+    if counts[:, ratio != 0].sum() <= HELD_CELLS:
+        learner = LogisticRegression(maxIter=ROUNDS, regParam=penalty, elasticNetParam=0.0, standardization=False, tol=TOLERANCE)
+        fitted = learner.fit(written(vectors(rows, ratio)).coalesce(-(-sum(sizes.values()) // FIT_ROWS)))
+        coefficients, intercept = fitted.coefficients.toArray(), float(fitted.intercept)
+    else:
+        coefficients, intercept = weighed(written(slotted(rows, ratio)), ratio, counts, (sizes[0.0], sizes[1.0]), penalty)
+    weights[ratio != 0] = ratio[ratio != 0] * coefficients
+    return Model(weights, intercept)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:

@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from devfold.llm import toxicity
@@ -133,3 +134,45 @@ def test_distinct_buckets_cost_little_more_than_a_sort():
         return min(took)
 
     assert least(lambda: list(toxicity.present(texts, 20))) < 6 * least(lambda: np.sort(keys))
+
+
+def test_fit_equals_the_library_and_keeps_no_rows(spark, monkeypatch):
+    """Weights of Spark's regression over the whole vectors, from blocks that no executor holds on to."""
+    rows = [("", 0.0), (None, 1.0), *((t, float(y)) for _, t, y in sample(700, 4))]
+    train = spark.createDataFrame(rows, "text string, label double").repartition(5).localCheckpoint()
+    counts = toxicity.bucket_counts(train, BITS)
+    ratio = toxicity.ratios(counts, least_z=1.0)
+    learner = LogisticRegression(maxIter=60, regParam=1e-4, elasticNetParam=0.0, standardization=False, tol=1e-6)
+    wanted = learner.fit(toxicity.vectors(train, ratio))
+    kept, search = set(spark.sparkContext._jsc.getPersistentRDDs()), toxicity.minimised
+
+    def watched(cost, *more):
+        def looked(point):
+            out = cost(point)
+            assert set(spark.sparkContext._jsc.getPersistentRDDs()) <= kept
+            return out
+
+        return search(looked, *more)
+
+    monkeypatch.setattr(toxicity, "minimised", watched)
+    monkeypatch.setattr(toxicity, "BLOCK_TEXTS", 64)
+    monkeypatch.setattr(toxicity, "STEP_CELLS", 20_000)
+    monkeypatch.setattr(toxicity, "HELD_CELLS", 0)
+    got = toxicity.fit(train, BITS, least_z=1.0)
+    assert np.allclose(got.weights[ratio != 0], ratio[ratio != 0] * wanted.coefficients.toArray(), rtol=1e-2, atol=1e-4)
+    assert abs(got.intercept - wanted.intercept) < 1e-3 and not got.weights[ratio == 0].any()
+
+
+def test_blocks_hold_what_the_vectors_hold(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "BLOCK_TEXTS", 10)
+    texts = [None, "", "a", "", "", *(t for _, t, _ in sample(60, 5))]
+    rows = spark.createDataFrame([(t, float(i % 2)) for i, t in enumerate(texts)], "text string, label double").coalesce(1)
+    ratio = np.where(np.arange(1 << 18) % 3, 0.5, 0.0)
+    wanted = [(r.label, r.features.indices.tolist()) for r in toxicity.vectors(rows, ratio).collect()]
+    got = []
+    for labels, sizes, steps, far in toxicity.slotted(rows, ratio).collect():
+        label, size = np.frombuffer(labels, np.int8), np.frombuffer(sizes, np.int32)
+        assert len(label) <= 10
+        slots = np.split(toxicity.unslotted(steps, far, size, np.count_nonzero(ratio)), np.cumsum(size)[:-1])
+        got += [(float(y), own.tolist()) for y, own in zip(label, slots)]
+    assert got == wanted
